@@ -68,11 +68,19 @@ def below(rate: Column, *key: str) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < F.floor(rate * (1 << 30))
 
 
+def small_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """Send Arrow batches of few rows, as texts may be long; a smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def by_batch(df: DataFrame, schema: str, fn: Callable[..., list], *columns: str) -> DataFrame:
     """``df[columns]`` through ``fn(lists of values) -> lists of values``, an Arrow batch at a time."""
     from pyspark.sql.types import StructType
 
     target = _arrow(StructType.fromDDL(schema))
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

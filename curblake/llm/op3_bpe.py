@@ -26,6 +26,7 @@ import re
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import DataFrame
 
 from curblake.llm.common import by_batch
@@ -219,7 +220,6 @@ def load(path: str) -> Tokenizer:
 
 def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: str = "token_ids", n: str = "n_tokens") -> DataFrame:
     """All columns of ``docs`` with the token ids (array<int>) and their number."""
-    import pandas as pd
     from pyspark.sql import functions as F
 
     where = path or tokenizer_path()
@@ -234,7 +234,6 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: st
 
 def decode(tokens: DataFrame, ids: str = "token_ids", to: str = "decoded", path: str | None = None) -> DataFrame:
     """The inverse of `encode`: the arc labels of each id list, joined by one space."""
-    import pandas as pd
     from pyspark.sql import functions as F
 
     where = path or tokenizer_path()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curblake.llm import op3_bpe
+from curblake.llm import op3_bpe, op4_language, op5_quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,19 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_language.identify(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return op5_quality.score(docs, op5_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_language_id": op4_language_id,
+    "op5_quality_score": op5_quality_score,
 }
 
 ORACLE_SQL: dict[str, str] = {}
