@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curblake.llm import op3_bpe, op4_language, op5_quality
+from curblake.llm import op2_urls, op3_bpe, op4_language, op5_quality, op6_mixing, op9_pii
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +26,27 @@ def op5_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_quality.score(docs, op5_quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_mixing.summary(table(spark, sf_dir, "documents"))
+
+
+def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_filter": op2_url_filter,
     "op3_bpe_codec": op3_bpe_codec,
     "op4_language_id": op4_language_id,
     "op5_quality_score": op5_quality_score,
+    "op6_source_mix": op6_source_mix,
+    "op9_pii_spans": op9_pii_spans,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_source_mix": op6_mixing.SQL,
+}
