@@ -101,8 +101,11 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     out = docs
     for kind in KINDS:
         out = located(out, text, FORMS[kind], f"_{kind}", maybe[kind], TESTS[kind])
-    numbered = [F.transform(f"_{k}", lambda s, i=i: F.struct(s["start"].alias("start"), F.lit(i).alias("kind"), s["end"].alias("end"), s["value"].alias("value"))) for i, k in enumerate(KINDS)]
-    return out.withColumn("base", F.array_sort(F.concat(*numbered))).drop(*[f"_{k}" for k in KINDS])
+
+    def numbered(number: int) -> Column:
+        return F.transform(f"_{KINDS[number]}", lambda s: F.struct(s["start"].alias("start"), F.lit(number).alias("kind"), s["end"].alias("end"), s["value"].alias("value")))
+
+    return out.withColumn("base", F.array_sort(F.concat(*map(numbered, range(len(KINDS)))))).drop(*[f"_{k}" for k in KINDS])
 
 
 def contexts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -159,9 +162,12 @@ def _listed(spans: Column) -> Column:
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, base counts by kind, digest of the base spans, and all spans as text."""
     found = detect(docs)
-    count = [F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+
+    def count(number: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == number)).cast("long").alias(f"n_{KINDS[number]}")
+
     plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return found.select("doc_id", *count, F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.array_sort(F.array_union(plain, F.col("extra")))).alias("spans"))
+    return found.select("doc_id", *map(count, range(len(KINDS))), F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.array_sort(F.array_union(plain, F.col("extra")))).alias("spans"))
 
 
 def redact(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
