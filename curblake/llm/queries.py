@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curblake.llm import op2_urls, op3_bpe, op4_language, op5_quality, op6_mixing, op9_pii
+from curblake.llm import op2_urls, op3_bpe, op4_language, op5_quality, op6_mixing, op8_near_dedup, op9_pii
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_mixing.summary(table(spark, sf_dir, "documents"))
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_near_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_pii.report(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_quality_score": op5_quality_score,
     "op6_source_mix": op6_source_mix,
+    "op8_minhash_dedup": op8_minhash_dedup,
     "op9_pii_spans": op9_pii_spans,
 }
 
