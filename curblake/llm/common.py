@@ -75,6 +75,17 @@ def small_batches(spark: SparkSession, rows: int = 1024) -> None:
         spark.conf.set(key, str(rows))
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as an idle Python worker stays beside the JVM for the next stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        import ctypes
+
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
 def by_batch(df: DataFrame, schema: str, fn: Callable[..., list], *columns: str) -> DataFrame:
     """``df[columns]`` through ``fn(lists of values) -> lists of values``, an Arrow batch at a time."""
     from pyspark.sql.types import StructType
@@ -88,6 +99,7 @@ def by_batch(df: DataFrame, schema: str, fn: Callable[..., list], *columns: str)
                 part = batch.slice(at, 256)
                 out = fn(*(c.to_pylist() for c in part.columns))
                 yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, f.type) for v, f in zip(out, target, strict=True)], schema=target)
+        give_back()
 
     return df.select(*columns).mapInArrow(run, schema)
 

@@ -13,8 +13,9 @@ is confirmed pair by pair across components, so no link between components is lo
 
 A document's set: distinct 3-word shingles of the words (A-Z lower-cased, split at ASCII white space);
 with fewer words, the whole sequence.  Null or empty texts have no set and no links.  Repeated rows are
-of one class.  A row with a null id takes part, gets the component of its class, and is kept only if no
-row of the component has an id.  Extra columns are ignored.
+of one class.  A class is named by its smallest doc_id (texts that share one doc_id are one document).  A
+row with a null id is linked with equal sets only, and is kept only if no row of its class has an id.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -99,27 +100,26 @@ def _keys() -> Column:
     return F.array(*out)
 
 
-def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(class, set) of the wanted classes, from the texts of their representatives."""
-    reps = spool(classes.join(wanted, "class", "left_semi").select("rep").distinct(), "representatives")
-    texts = docs.select("doc_id", "text").join(reps, docs["doc_id"].eqNullSafe(reps["rep"]), "left_semi")
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, set) of the wanted classes, from the texts of the documents that name them."""
+    wanted = spool(wanted, "wanted")
+    texts = docs.select("doc_id", "text").join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
 
-    def run(texts: list) -> list:
-        sets = list(map(shingles, texts))
-        return [[_digest(s) for s in sets], [s.view(np.int64).tolist() for s in sets]]
+    def run(ids: list, texts: list) -> list:
+        return [ids, [shingles(t).view(np.int64).tolist() for t in texts]]
 
-    return by_batch(texts.where(F.length("text") > 0), "class binary, set array<bigint>", run, "text").dropDuplicates(["class"])
+    return by_batch(texts.where(F.length("text") > 0), "node long, set array<bigint>", run, "doc_id", "text").dropDuplicates(["node"])
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
-    small = classes.select("class", "n", "sig")
-    near = pairs.join(small.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a").join(small.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
+    small = classes.select("node", "n", "sig")
+    near = pairs.join(small.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a").join(small.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
     differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x != y).cast("int")), F.lit(0), lambda t, x: t + x)
     near = near.where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SIMILAR) & (differ <= FAR)).select("a", "b", "na", "nb")
     near = spool(near, "near-pairs")
-    sets = spool(_sets(docs, classes, near.select(F.explode(F.array("a", "b")).alias("class")).distinct()), "sets")
-    full = near.join(sets.select(F.col("class").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("class").alias("b"), F.col("set").alias("sb")), "b")
+    sets = spool(_sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
+    full = near.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))
     return full.where(both * 100 >= (F.col("na") + F.col("nb") - both) * SIMILAR).select("a", "b")
 
@@ -130,31 +130,31 @@ def _pair(a: str, b: str) -> list[Column]:
 
 def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     """(node, component) of the classes that are linked with another."""
-    keys = classes.select("class", F.explode(_keys()).alias("key"))
-    shared = keys.groupBy("key").agg(F.min("class").alias("centre"), F.max("class").alias("_last")).where(F.col("centre") < F.col("_last")).drop("_last")
+    keys = classes.select("node", F.explode(_keys()).alias("key"))
+    shared = keys.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("_last")).where(F.col("centre") < F.col("_last")).drop("_last")
     shared = spool(keys.join(shared, "key"), "shared-keys")
-    pairs = spool(shared.where(F.col("class") != F.col("centre")).select(*_pair("class", "centre")).distinct(), "pairs-0")
+    pairs = spool(shared.where(F.col("node") != F.col("centre")).select(*_pair("node", "centre")).distinct(), "pairs-0")
     if pairs.isEmpty():
         return None
     links = spool(_confirm(pairs, docs, classes), "links-0")
-    tested, keys = pairs, shared.select("key", "class")
+    tested, keys = pairs, shared.select("key", "node")
     for turn in range(1, CENTRES + 2):
         found = spool(components(links), "components") if turn == 1 or not new.isEmpty() else found  # noqa: F821
-        own = keys.join(found, F.col("class") == F.col("node"), "left").select("key", "class", F.coalesce("component", "class").alias("component"))
+        own = keys.join(found, keys["node"] == found["node"], "left").select("key", keys["node"], F.coalesce(found["component"], keys["node"]).alias("component"))
         mixed = own.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where(F.col("_lo") < F.col("_hi")).select("key")
         keys = spool(own.join(mixed, "key", "left_semi"), f"mixed-{turn}")
         if keys.isEmpty():
             return found
         if turn <= CENTRES:  # another centre for each key
-            place = F.struct(F.xxhash64("class", F.lit(turn)).alias("h"), "class", "component")
+            place = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")
             centre = keys.groupBy("key").agg(F.min(place).alias("c"))
-            pairs = keys.join(centre, "key").where(F.col("component") != F.col("c.component")).select(*_pair("class", "c.class"))
+            pairs = keys.join(centre, "key").where(F.col("component") != F.col("c.component")).select(*_pair("node", "c.node"))
         else:  # the rest: all pairs across components
-            other = keys.select("key", F.col("class").alias("class2"), F.col("component").alias("component2"))
-            pairs = keys.join(other, "key").where((F.col("component") < F.col("component2"))).select(*_pair("class", "class2"))
+            other = keys.select("key", F.col("node").alias("node2"), F.col("component").alias("component2"))
+            pairs = keys.join(other, "key").where((F.col("component") < F.col("component2"))).select(*_pair("node", "node2"))
         pairs = spool(pairs.distinct().join(tested, ["a", "b"], "left_anti"), f"pairs-{turn}")
         new = spool(_confirm(pairs, docs, classes), f"links-{turn}")
-        tested, links, keys = tested.unionByName(pairs), links.unionByName(new), keys.select("key", "class")
+        tested, links, keys = tested.unionByName(pairs), links.unionByName(new), keys.select("key", "node")
     return spool(components(links), "components") if not new.isEmpty() else found
 
 
@@ -163,13 +163,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     rows = spool(signed(docs), "signatures")
     classes = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.count("*").alias("copies"))
-    classes = spool(classes, "classes")
+    classes = spool(classes.withColumn("node", F.coalesce("rep", F.xxhash64("class"))), "classes")
     found = link_classes(docs, classes)
-    group = classes.select("class", "rep", "copies")
+    group = classes.select("class", "node", "rep", "copies")
     if found is None:
         named = group.where(F.col("copies") > 1).select("class", F.col("rep").alias("component_id"))
     else:
-        group = group.join(found, F.col("class") == F.col("node"), "left").where((F.col("copies") > 1) | F.col("component").isNotNull()).withColumn("component", F.coalesce("component", "class"))
+        group = group.join(found, "node", "left").where((F.col("copies") > 1) | F.col("component").isNotNull()).withColumn("component", F.coalesce("component", "node"))
         group = spool(group.select("class", "rep", "component"), "groups")
         lowest = group.groupBy("component").agg(F.min("rep").alias("component_id"))
         named = group.join(lowest, "component").select("class", "component_id")
