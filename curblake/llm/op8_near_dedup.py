@@ -8,8 +8,10 @@ key.  So all pairs under that signature distance meet.  Pairs that meet are conf
 
 A key with many classes is not expanded into all pairs: its smallest class is the centre, and the
 others are confirmed against it.  Classes that are then in one component need no further look; for
-keys that still hold several components another centre is tried, and what is left after CENTRES turns
-is confirmed pair by pair across components, so no link between components is lost.
+keys that still hold several components another centre is tried, CENTRES times.  The classes of the
+keys that are still mixed then go through an exact join of their full sets across components: shingles
+in order of rarity, a shared one among the first few, and the sizes and places of the shared one must
+leave room for enough others.  So no link between components is lost, however large a group is.
 
 A document's set: distinct 3-word shingles of the words (A-Z lower-cased, split at ASCII white space);
 with fewer words, the whole sequence.  Null or empty texts have no set and no links.  Repeated rows are
@@ -23,7 +25,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curblake.llm.common import by_batch, spool
@@ -35,7 +37,7 @@ SIMILAR = 85
 CHUNKS, WIDTH, ERRORS = 6, 5, 1
 #: Pairs whose signatures differ in more values aren't confirmed: at similarity 0.85 that happens to 1 pair in 10^6.
 FAR = 14
-CENTRES = 2
+CENTRES = 1
 WORDS = 200_000
 
 _MIX = np.random.default_rng(8).integers(1, 1 << 63, CHUNKS * WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -124,6 +126,28 @@ def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     return full.where(both * 100 >= (F.col("na") + F.col("nb") - both) * SIMILAR).select("a", "b")
 
 
+def _across(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes(node, component) in different components that may be similar; none that is similar is missing.
+
+    Two sets of m <= n shingles are similar if they share at least s = 17 (m + n) / 37.  In one order of
+    all shingles the first shared one is among the first m - s + 1 and n - s + 1, and as many as s - 1
+    must follow it in both.
+    """
+    sets = spool(_sets(docs, nodes.select("node")), "rest-sets")
+    tokens = sets.select("node", F.size("set").alias("n"), F.explode("set").alias("token"))
+    common = tokens.groupBy("token").agg(F.count("*").alias("times"))
+    order = Window.partitionBy("node").orderBy("times", "token")
+    ranked = tokens.join(common, "token").withColumn("place", F.row_number().over(order))
+    least = lambda m, n: F.ceil(F.lit(17) * (m + n) / 37).cast("int")
+    ranked = ranked.where((F.col("times") > 1) & (F.col("place") <= F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1))
+    head = spool(ranked.join(nodes, "node").select("token", "node", "component", "n", "place"), "rest-prefixes")
+    short = head.where(F.col("place") <= F.col("n") - least(F.col("n"), F.col("n")) + 1).select("token", *[F.col(c).alias(f"{c}1") for c in ("node", "component", "n", "place")])
+    long = head.select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "component", "n", "place")])
+    fits = (F.col("component1") != F.col("component2")) & ((F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("node1") < F.col("node2")))) & (F.col("n1") * 100 >= F.col("n2") * SIMILAR)
+    room = F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) + 1 >= least(F.col("n1"), F.col("n2"))
+    return short.join(long, (short["token"] == long["token"]) & fits & room).select(*_pair("node1", "node2"))
+
+
 def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
@@ -149,9 +173,8 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
             place = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")
             centre = keys.groupBy("key").agg(F.min(place).alias("c"))
             pairs = keys.join(centre, "key").where(F.col("component") != F.col("c.component")).select(*_pair("node", "c.node"))
-        else:  # the rest: all pairs across components
-            other = keys.select("key", F.col("node").alias("node2"), F.col("component").alias("component2"))
-            pairs = keys.join(other, "key").where((F.col("component") < F.col("component2"))).select(*_pair("node", "node2"))
+        else:  # the rest, exactly
+            pairs = _across(docs, spool(keys.select("node", "component").distinct(), "rest-nodes"))
         pairs = spool(pairs.distinct().join(tested, ["a", "b"], "left_anti"), f"pairs-{turn}")
         new = spool(_confirm(pairs, docs, classes), f"links-{turn}")
         tested, links, keys = tested.unionByName(pairs), links.unionByName(new), keys.select("key", "node")
