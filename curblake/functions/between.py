@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curblake.functions.distinct import distinct_apply
 from curblake.functions.grammar import Grammar, Rule
-from curblake.functions.rx import FLAGS, blank, first, group, has, sub, unfused
+from curblake.functions.rx import FLAGS, blank, computed, first, group, has, sub, unfused
 
 # The words of the by-laws.
 CARDINAL = "north|south|east|west"
@@ -154,11 +154,10 @@ ANCHORS = ("start_intersection", "end_intersection", "offset_intersection", "ter
 
 def parse_texts(texts: DataFrame, text: str = "between") -> DataFrame:
     """B00 and T00 for distinct texts: adds rule_number, rule_type and the fields."""
-    rows = texts.withColumn("_t", unfused(F.col(text), lambda t: F.when(~blank(t), preprocess(t))))
-    rows = rows.withColumn("rule_number", unfused(F.col("_t"), GRAMMAR.number))
+    rows = computed(texts, _t=unfused(F.col(text), lambda t: F.when(~blank(t), preprocess(t))))
+    rows = computed(rows, rule_number=unfused(F.col("_t"), GRAMMAR.number))
     parsed = unfused(F.struct(F.col("_t").alias("t"), F.col("rule_number").alias("n")), lambda r: F.struct(*[v.alias(k) for k, v in GRAMMAR.values(r["t"], r["n"], FIELDS).items()]))
-    rows = rows.withColumn("_p", parsed).withColumn("rule_type", GRAMMAR.kinds(F.col("rule_number")))
-    rows = rows.select(*[c for c in rows.columns if c != "_p"], "_p.*")
+    rows = computed(rows, rule_type=GRAMMAR.kinds(F.col("rule_number")), _p=parsed).select(*rows.columns, "rule_type", "_p.*")
     # Trailing parentheses of anchors are qualifiers
     for a in ("start_intersection", "end_intersection", "offset_intersection"):
         name, found = qualifier(F.col(a))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FLAGS = "(?iuUd)"
@@ -50,3 +50,11 @@ def norm_cell(c: Column) -> Column:
 def unfused(value, build):  # noqa: ANN001, ANN201
     """``build(value)`` evaluated outside whole-stage code, whose methods a long decision list would outgrow."""
     return F.transform(F.array(value), build)[0]
+
+
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once a row, however often later steps refer to them.
+
+    A plain projection would be merged into its consumers, and a costly expression repeated in each.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from curblake.functions.rx import blank, first, norm_cell, truthy
+from curblake.functions.rx import blank, computed, first, norm_cell, truthy
 
 # The schedules of each category, in arabic and in roman spelling.
 SCHEDULES = {
@@ -58,11 +58,10 @@ def _list_text(cell: Column) -> Column:
 
 def unpack(rows: DataFrame, cell: str = "ByLaw_Table") -> DataFrame:
     """adds fields (a map; of equal keys the last counts) and unpack_error (a code, null if fine)."""
-    text = _list_text(F.col(cell))
-    entries = F.from_json(text, ENTRY, {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true", "mode": "PERMISSIVE"})
-    rows = rows.withColumns({"_text": text, "_entries": F.filter(entries, lambda e: e["key"].isNotNull())})
+    entries = F.from_json(F.col("_text"), ENTRY, {"allowSingleQuotes": "true", "allowUnquotedFieldNames": "true", "mode": "PERMISSIVE"})
+    rows = computed(computed(rows, _text=_list_text(F.col(cell))), _entries=F.filter(entries, lambda e: e["key"].isNotNull()))
     last = F.filter("_entries", lambda e, i: ~F.exists(F.slice("_entries", i + 2, F.size("_entries")), lambda later: later["key"] == e["key"]))
-    rows = rows.withColumn("fields", F.map_from_entries(last))
+    rows = computed(rows, fields=F.map_from_entries(last))
     looks_like_list = F.col("_text").rlike(r"(?s)^\[.*\]$")
     error = first(
         (blank(F.col(cell)), F.lit("UNPACK_EMPTY_TABLE")),
@@ -74,7 +73,7 @@ def unpack(rows: DataFrame, cell: str = "ByLaw_Table") -> DataFrame:
         (blank(F.col("fields")["Highway"]), F.lit("UNPACK_MISSING_HIGHWAY")),
         default=F.lit(None).cast("string"),
     )
-    return rows.withColumn("unpack_error", error).drop("_text", "_entries")
+    return computed(rows, unpack_error=error).drop("_text", "_entries")
 
 
 def _field(*names: str) -> Column:

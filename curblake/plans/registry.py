@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from importlib import import_module
 
-from pyspark.sql import DataFrame, SparkSession
+#: Modules of queries, in order.
+FAMILIES = ("text_queries",)
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+for _family in FAMILIES:
+    _module = import_module(f"curblake.plans.{_family}")
+    QUERIES |= _module.QUERIES
+    ORACLE_SQL |= _module.ORACLE_SQL
