@@ -62,7 +62,7 @@ def counts(rows: DataFrame, *by: str) -> DataFrame:
 
 def crosstab(rows: DataFrame, by: str, across: str, values: list[str]) -> DataFrame:
     """A column for each value; nothing counts as 0."""
-    return rows.groupBy(by).pivot(across, values).agg(F.count("*")).na.fill(0)
+    return rows.groupBy(by).pivot(across, values).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def top(rows: DataFrame, k: int, *by: str) -> DataFrame:
