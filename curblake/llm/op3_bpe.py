@@ -53,11 +53,14 @@ class Automaton:
         n = max(vocab.values()) + 1
         self.first, self.last, self.time = [-1] * n, [-1] * n, [0] * n  # of the gadget that made a label
         self.cut: dict[int, int] = {}  # state << 20 | label -> time
+        self.dead = {vocab[u + v] for u, v in merges}  # labels that no gadget has made (yet)
         for rank, (u, v) in enumerate(merges, 1):  # a gadget copies at 2 x rank, then cuts, then extends at 2 x rank + 1
             self._gadget(vocab[u], vocab[v], vocab[u + v], 2 * rank)
         self.cells: dict[int, bool] = {}
         self.trie: dict = {}
         for token, i in vocab.items():
+            if i in self.dead:
+                continue
             end = token.endswith(suffix) and len(token) > len(suffix)
             body = token[: -len(suffix)] if end else token
             node = self.trie
@@ -66,7 +69,8 @@ class Automaton:
             node[None] = i
 
     def _gadget(self, u: int, v: int, w: int, when: int) -> None:
-        if self.time[w] == 0 and self.alive(u, v, when):  # an arc that is gone can't be merged
+        if w in self.dead and not {u, v} & self.dead and self.alive(u, v, when):  # an arc that is gone can't be merged
+            self.dead.remove(w)
             self.cut[u << 20 | v] = when
             self.first[w], self.last[w], self.time[w] = u, v, when
 
