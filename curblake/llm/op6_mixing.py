@@ -26,7 +26,7 @@ CAP = 3
 #: Change of a source's weight over training, by weight class: from 1 - slope to 1 + slope times its mean.
 SLOPES = (-0.5, 0.0, 0.5)
 #: Documents a bucket of the order should hold.
-BUCKET = 20_000
+BUCKET = 1_000
 
 
 def n_words(text: str) -> Column:
