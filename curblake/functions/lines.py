@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curblake.functions.rx import computed
+
 POINT = "struct<x:double,y:double>"
 
 
@@ -26,22 +30,48 @@ def segments(line: Column) -> Column:
     )
 
 
-def length(line: Column) -> Column:
+@dataclass(frozen=True)
+class Measured:
+    """A line whose segments and length are columns already; all functions here take one in place of a line."""
+
+    line: Column
+    segments: Column
+    length: Column
+
+
+def measured(df: DataFrame, line: str = "line") -> tuple[DataFrame, Measured]:
+    """``df`` with the line's segments and length computed once a row (columns _segments and _length)."""
+    df = computed(df, _segments=segments(F.col(line)))
+    df = computed(df, _length=F.aggregate("_segments", F.lit(0.0), lambda t, s: t + distance(s["p"], s["q"])))
+    return df, Measured(F.col(line), F.col("_segments"), F.col("_length"))
+
+
+def _pieces(line: Column | Measured) -> Column:
+    return line.segments if isinstance(line, Measured) else segments(line)
+
+
+def _points(line: Column | Measured) -> Column:
+    return line.line if isinstance(line, Measured) else line
+
+
+def length(line: Column | Measured) -> Column:
+    if isinstance(line, Measured):
+        return line.length
     return F.aggregate(segments(line), F.lit(0.0), lambda t, s: t + distance(s["p"], s["q"]))
 
 
-def interpolate(line: Column, at: Column) -> Column:
+def interpolate(line: Column | Measured, at: Column) -> Column:
     """The point ``at`` metres along; clamped to the ends."""
-    on = F.filter(segments(line), lambda s: (s["at"] + distance(s["p"], s["q"]) >= at) & (distance(s["p"], s["q"]) > 0))
+    on = F.filter(_pieces(line), lambda s: (s["at"] + distance(s["p"], s["q"]) >= at) & (distance(s["p"], s["q"]) > 0))
 
     def place(s: Column) -> Column:
         t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (at - s["at"]) / distance(s["p"], s["q"])))
         return point(s["p"]["x"] + t * (s["q"]["x"] - s["p"]["x"]), s["p"]["y"] + t * (s["q"]["y"] - s["p"]["y"]))
 
-    return F.coalesce(F.get(F.transform(on, place), F.lit(0)), F.element_at(line, -1))
+    return F.coalesce(F.get(F.transform(on, place), F.lit(0)), F.element_at(_points(line), -1))
 
 
-def nearest(line: Column, p: Column) -> Column:
+def nearest(line: Column | Measured, p: Column) -> Column:
     """struct<d, at>: distance of the point from the line, and the place along it; the first of equally near places."""
 
     def one(s: Column) -> Column:
@@ -51,25 +81,25 @@ def nearest(line: Column, p: Column) -> Column:
         foot = point(s["p"]["x"] + t * dx, s["p"]["y"] + t * dy)
         return F.struct(distance(p, foot).alias("d"), (s["at"] + t * F.sqrt(long)).alias("at"))
 
-    return F.array_min(F.transform(segments(line), one))
+    return F.array_min(F.transform(_pieces(line), one))
 
 
-def project(line: Column, p: Column) -> Column:
+def project(line: Column | Measured, p: Column) -> Column:
     return nearest(line, p)["at"]
 
 
-def clamp(line: Column, at: Column) -> Column:
+def clamp(line: Column | Measured, at: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(length(line), at))
 
 
-def substring(line: Column, d0: Column, d1: Column) -> Column:
+def substring(line: Column | Measured, d0: Column, d1: Column) -> Column:
     """The part between two places, in the line's direction."""
     lo, hi = F.least(clamp(line, d0), clamp(line, d1)), F.greatest(clamp(line, d0), clamp(line, d1))
-    inner = F.transform(F.filter(segments(line), lambda s: (s["at"] > lo) & (s["at"] < hi)), lambda s: s["p"])
+    inner = F.transform(F.filter(_pieces(line), lambda s: (s["at"] > lo) & (s["at"] < hi)), lambda s: s["p"])
     return F.concat(F.array(interpolate(line, lo)), inner, F.array(interpolate(line, hi)))
 
 
-def tangent(line: Column, at: Column, reach: float = 1.0) -> Column:
+def tangent(line: Column | Measured, at: Column, reach: float = 1.0) -> Column:
     a, b = interpolate(line, clamp(line, at - reach)), interpolate(line, clamp(line, at + reach))
     return point(b["x"] - a["x"], b["y"] - a["y"])
 
@@ -79,40 +109,40 @@ def compass_vector(word: Column) -> tuple[Column, Column]:
     return F.when(w == "east", 1.0).when(w == "west", -1.0).otherwise(0.0), F.when(w == "north", 1.0).when(w == "south", -1.0).otherwise(0.0)
 
 
-def offset_sign(line: Column, at: Column, word: Column) -> Column:
+def offset_sign(line: Column | Measured, at: Column, word: Column) -> Column:
     """+1 if the line runs the compass word's way at the place, else -1; +1 for other words."""
     x, y = compass_vector(word)
     t = tangent(line, at)
     return F.when(t["x"] * x + t["y"] * y >= 0, 1.0).otherwise(-1.0)
 
 
-def signed_offset(line: Column, at: Column, metres: Column, word: Column) -> Column:
+def signed_offset(line: Column | Measured, at: Column, metres: Column, word: Column) -> Column:
     """Clamped."""
     return clamp(line, at + offset_sign(line, at, word) * metres)
 
 
-def reflected_offset(line: Column, at: Column, metres: Column, word: Column) -> Column:
+def reflected_offset(line: Column | Measured, at: Column, metres: Column, word: Column) -> Column:
     """An offset that overshoots the line goes the other way, at 0 at least."""
     sign = offset_sign(line, at, word)
     raw = at + sign * metres
     return F.when((raw < 0) | (raw > length(line)), F.greatest(F.lit(0.0), at - sign * metres)).otherwise(raw)
 
 
-def relative_extension(line: Column, at: Column, d1: Column, d2: Column, word: Column) -> tuple[Column, Column]:
+def relative_extension(line: Column | Measured, at: Column, d1: Column, d2: Column, word: Column) -> tuple[Column, Column]:
     """Both ends of "d1 metres, and d2 metres further"; when the far end is clamped onto the near one, the span ends at the line's end."""
     near, far = signed_offset(line, at, d1, word), signed_offset(line, at, d1 + d2, word)
     stuck = F.abs(near - far) < 0.001
     return F.when(stuck, clamp(line, far - offset_sign(line, at, word) * d2)).otherwise(near), far
 
 
-def point_zone(line: Column, at: Column, zone: float = 5.0) -> tuple[Column, Column]:
+def point_zone(line: Column | Measured, at: Column, zone: float = 5.0) -> tuple[Column, Column]:
     """A zone of that length around a place, shifted to lie inside the line."""
     long = length(line)
     lo = F.greatest(F.lit(0.0), F.least(at - zone / 2, long - zone))
     return lo, F.least(long, lo + zone)
 
 
-def terminus(line: Column, word: Column, samples: int = 20) -> Column:
+def terminus(line: Column | Measured, word: Column, samples: int = 20) -> Column:
     """The place of the line's extreme sample towards a compass word; of a diagonal one east and west count first."""
     w = F.lower(word)
     score = lambda p: F.when(w.contains("east"), p["x"]).when(w.contains("west"), -p["x"]).when(w.contains("north"), p["y"]).otherwise(-p["y"])
@@ -120,7 +150,7 @@ def terminus(line: Column, word: Column, samples: int = 20) -> Column:
     return F.array_min(places)["i"] * length(line) / samples
 
 
-def chainage(line: Column, step: float = 2.0) -> Column:
+def chainage(line: Column | Measured, step: float = 2.0) -> Column:
     """Places every ``step`` metres or less, three at least."""
     n = F.greatest(F.lit(3), (F.floor(length(line) / step) + 1).cast("int"))
     return F.transform(F.sequence(F.lit(0), n - 1), lambda i: length(line) * i / (n - 1))

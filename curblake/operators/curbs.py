@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curblake.functions.lines import chainage, interpolate, point, tangent
+from curblake.functions.lines import chainage, interpolate, measured, point, tangent
+from curblake.functions.rx import computed
 from curblake.operators.spatial import bounds, cells
 
 # Fixed values, metres and shares.
@@ -17,9 +18,10 @@ STEP, RAY, LEAST_HIT, COVERAGE, MARGIN, OFFSET = 2.0, 40.0, 0.05, 0.4, 0.12, 3.5
 
 def rays(lines: DataFrame) -> DataFrame:
     """lines(line_id, line) -> a row a sample and side: origin, unit normal."""
-    s = lines.select("line_id", "line", F.explode(chainage(F.col("line"), STEP)).alias("s"))
-    t, o = tangent(F.col("line"), F.col("s")), interpolate(F.col("line"), F.col("s"))
-    s = s.select("line_id", "s", o.alias("o"), t.alias("t")).withColumn("_n", F.sqrt(F.col("t.x") * F.col("t.x") + F.col("t.y") * F.col("t.y"))).where("_n > 0")
+    m, line = measured(lines.select("line_id", "line"))
+    s = m.withColumn("s", F.explode(chainage(line, STEP)))
+    s = computed(s, o=interpolate(line, F.col("s")), t=tangent(line, F.col("s"))).select("line_id", "s", "o", "t")
+    s = s.withColumn("_n", F.sqrt(F.col("t.x") * F.col("t.x") + F.col("t.y") * F.col("t.y"))).where("_n > 0")
     side = F.explode(F.array(F.struct(F.lit("left").alias("side"), F.lit(1.0).alias("k")), F.struct(F.lit("right").alias("side"), F.lit(-1.0).alias("k"))))
     return s.withColumn("_s", side).select("line_id", "s", "o", F.col("_s.side").alias("side"), point(-F.col("t.y") / F.col("_n") * F.col("_s.k"), F.col("t.x") / F.col("_n") * F.col("_s.k")).alias("d"))
 

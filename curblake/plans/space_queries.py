@@ -228,15 +228,17 @@ def line_measures(spark, sf):  # noqa: ANN001, ANN201
 @query(V.oracle("SELECT line_id, x0 + least(off, len) AS first_x, x0 + least(spot + off, len) AS last_x, CASE WHEN len / 2 > least(off, len) AND len / 2 < least(spot + off, len) THEN 3 ELSE 2 END AS points FROM l", l=LINES))
 def line_substring(spark, sf):  # noqa: ANN001, ANN201
     """L13."""
-    part = L.substring(F.col("line"), F.col("spot") + F.col("off"), F.col("off"))
-    return _lines(spark, sf).withColumn("_p", part).select("line_id", F.col("_p")[0]["x"].alias("first_x"), F.element_at("_p", -1)["x"].alias("last_x"), F.size("_p").alias("points"))
+    l, line = L.measured(_lines(spark, sf))  # noqa: E741
+    part = L.substring(line, F.col("spot") + F.col("off"), F.col("off"))
+    return l.withColumn("_p", part).select("line_id", F.col("_p")[0]["x"].alias("first_x"), F.element_at("_p", -1)["x"].alias("last_x"), F.size("_p").alias("points"))
 
 
 @query(V.oracle("SELECT line_id, CASE WHEN line_id % 2 = 0 THEN 1.0 ELSE -1.0 END AS sign, least(len, greatest(0, least(spot, len) + CASE WHEN line_id % 2 = 0 THEN off ELSE -off END)) AS clamped, CASE WHEN least(spot, len) + CASE WHEN line_id % 2 = 0 THEN off ELSE -off END BETWEEN 0 AND len THEN least(spot, len) + CASE WHEN line_id % 2 = 0 THEN off ELSE -off END ELSE greatest(0, least(spot, len) - CASE WHEN line_id % 2 = 0 THEN off ELSE -off END) END AS reflected FROM l", l=LINES))
 def offset_reflect(spark, sf):  # noqa: ANN001, ANN201
     """L05-L07."""
     l = _lines(spark, sf).withColumn("_a", F.least("spot", "len")).withColumn("_w", F.when(F.col("line_id") % 2 == 0, "east").otherwise("west"))  # noqa: E741
-    a, w, line = F.col("_a"), F.col("_w"), F.col("line")
+    l, line = L.measured(l)  # noqa: E741
+    a, w = F.col("_a"), F.col("_w")
     return l.select("line_id", L.offset_sign(line, a, w).alias("sign"), L.signed_offset(line, a, F.col("off"), w).alias("clamped"), L.reflected_offset(line, a, F.col("off"), w).alias("reflected"))
 
 
@@ -250,15 +252,17 @@ def point_zone(spark, sf):  # noqa: ANN001, ANN201
 @query(V.oracle("SELECT line_id, CASE WHEN abs(least(len, a + off) - least(len, a + off + 10)) < 0.001 THEN least(len, greatest(0, least(len, a + off + 10) - 10)) ELSE least(len, a + off) END AS near, least(len, a + off + 10) AS far FROM (SELECT *, least(spot, len) AS a FROM l)", l=LINES))
 def relative_extension(spark, sf):  # noqa: ANN001, ANN201
     """L08."""
-    near, far = L.relative_extension(F.col("line"), F.least("spot", "len"), F.col("off"), F.lit(10.0), F.lit("east"))
-    return _lines(spark, sf).select("line_id", near.alias("near"), far.alias("far"))
+    l, line = L.measured(_lines(spark, sf))  # noqa: E741
+    near, far = L.relative_extension(line, F.least("spot", "len"), F.col("off"), F.lit(10.0), F.lit("east"))
+    return l.select("line_id", near.alias("near"), far.alias("far"))
 
 
 @query(V.oracle("SELECT line_id, CASE line_id % 3 WHEN 0 THEN len WHEN 1 THEN 0.0 ELSE 0.0 END AS place FROM l", l=LINES))
 def line_terminus(spark, sf):  # noqa: ANN001, ANN201
     """The place of the directional extreme; equal samples: the first."""
     word = F.when(F.col("line_id") % 3 == 0, "east").when(F.col("line_id") % 3 == 1, "west").otherwise("north")
-    return _lines(spark, sf).select("line_id", L.terminus(F.col("line"), word).alias("place"))
+    l, line = L.measured(_lines(spark, sf))  # noqa: E741
+    return l.select("line_id", L.terminus(line, word).alias("place"))
 
 
 @query()
