@@ -77,6 +77,9 @@ def small_batches(spark: SparkSession, rows: int = 1024) -> None:
 
 def give_back() -> None:
     """Return freed memory to the system, as an idle Python worker stays beside the JVM for the next stages."""
+    import gc
+
+    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         import ctypes
@@ -86,8 +89,8 @@ def give_back() -> None:
         return
 
 
-def by_batch(df: DataFrame, schema: str, fn: Callable[..., list], *columns: str) -> DataFrame:
-    """``df[columns]`` through ``fn(lists of values) -> lists of values``, an Arrow batch at a time."""
+def by_batch(df: DataFrame, schema: str, fn: Callable[..., list], *columns: str, done: Callable[[], object] | None = None) -> DataFrame:
+    """``df[columns]`` through ``fn(lists of values) -> lists of values``, an Arrow batch at a time; ``done()`` ends a task."""
     from pyspark.sql.types import StructType
 
     target = _arrow(StructType.fromDDL(schema))
@@ -99,6 +102,8 @@ def by_batch(df: DataFrame, schema: str, fn: Callable[..., list], *columns: str)
                 part = batch.slice(at, 256)
                 out = fn(*(c.to_pylist() for c in part.columns))
                 yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v, f.type) for v, f in zip(out, target, strict=True)], schema=target)
+        if done:
+            done()
         give_back()
 
     return df.select(*columns).mapInArrow(run, schema)

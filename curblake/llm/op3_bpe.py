@@ -222,6 +222,11 @@ def load(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
+def forget() -> None:
+    """Drop the tables; loading them again takes a fraction of a second a task, and idle workers stay small."""
+    load.cache_clear()
+
+
 def encode(docs: DataFrame, text: str = "text", path: str | None = None, ids: str = "token_ids", n: str = "n_tokens") -> DataFrame:
     """All columns of ``docs`` with the token ids (array<int>) and their number."""
     from pyspark.sql import functions as F
@@ -258,4 +263,4 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         t = load(where)
         return [doc_ids, *map(list, zip(*map(t.digest, texts), strict=True))]
 
-    return by_batch(docs, SCHEMA, run, "doc_id", "text")
+    return by_batch(docs, SCHEMA, run, "doc_id", "text", done=forget)

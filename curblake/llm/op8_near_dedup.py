@@ -56,6 +56,10 @@ class _WordHash(dict):
 _hash = _WordHash()
 
 
+def forget() -> None:
+    _hash.clear()
+
+
 def _spread(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return x ^ (x >> np.uint64(29))
@@ -90,7 +94,7 @@ def signed(docs: DataFrame) -> DataFrame:
         sets = list(map(shingles, texts))
         return [ids, [len(s) for s in sets], [_digest(s) if len(s) else None for s in sets], [signature(s) if len(s) else None for s in sets]]
 
-    return by_batch(docs, "doc_id long, n long, class binary, sig array<smallint>", run, "doc_id", "text")
+    return by_batch(docs, "doc_id long, n long, class binary, sig array<smallint>", run, "doc_id", "text", done=forget)
 
 
 def _keys() -> Column:
@@ -110,7 +114,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(ids: list, texts: list) -> list:
         return [ids, [shingles(t).view(np.int64).tolist() for t in texts]]
 
-    return by_batch(texts.where(F.length("text") > 0), "node long, set array<bigint>", run, "doc_id", "text").dropDuplicates(["node"])
+    return by_batch(texts.where(F.length("text") > 0), "node long, set array<bigint>", run, "doc_id", "text", done=forget).dropDuplicates(["node"])
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
