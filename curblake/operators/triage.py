@@ -43,7 +43,7 @@ def tiers(rows: DataFrame) -> DataFrame:
         (missing & (a == "true_missing_or_complex"), said("D_hard", "true_missing:unknown")), (missing, said("D_hard", with_kind("intersection:", a))), (code == "GEOMETRY_EXCEPTION", said("D_hard", "geometry_exception")), (code == "EMPTY_GEOMETRY", said("A_skipped", "empty_geometry")), (code == "MISSING_RULE_TYPE", said("A_trivial", "missing_rule_type")),
         (error & (geo == "valid_point_zone"), said("A_trivial", "valid_point_zone")), (error & geo.isin("clamp_at_endpoint", "centreline_geometry"), said("C_medium", geo)), (error & (geo == "investigate"), said("D_hard", "geometry_investigate")), (error, said("C_medium", "geometry_zero_length")),
         (nomatch & b.isin("parenthetical", "street_end", "point_opposite_and", "dual_intersection_paren", "point_and_street", "simple_and"), said("C_medium", with_kind("parse_pattern:", b))), (nomatch, said("D_hard", with_kind("parse_pattern:", b))),
-        (street & (col("street_category") == "truly_absent_from_tcl"), said("D_hard", "street_not_in_tcl")), (street & (fix == "auto_highway_resolve"), said("B_quick", "street_resolve:auto")), (street & (fix == "lane_infer"), said("C_medium", "street_resolve:lane")), (street & (fix == "manual_alias"), said("C_medium", "street_alias:needed")), (street, said("D_hard", "street_not_found")),
+        (street & (col("street_category") == "absent"), said("D_hard", "street_not_in_tcl")), (street & (fix == "auto_highway_resolve"), said("B_quick", "street_resolve:auto")), (street & (fix == "lane_infer"), said("C_medium", "street_resolve:lane")), (street & (fix == "manual_alias"), said("C_medium", "street_alias:needed")), (street, said("D_hard", "street_not_found")),
         (code == "AMBIGUOUS_INTERSECTION", said("D_hard", "ambiguous_intersection")), (code == "DISCONNECTED_BLOCK", said("D_hard", "disconnected_block")), default=said("D_hard", F.lower(F.concat_ws(":", "stage", "reason_code"))),
     )
     return computed(rows, _d=decision).select(*[c for c in rows.columns if not c.startswith("_")], "_d.tier", "_d.fix_category")
