@@ -231,3 +231,16 @@ def deduplicate(vectors: DataFrame) -> DataFrame:
     out = rows.join(named, "node", "left").withColumns({"component_id": F.coalesce("component_id", "vec_id"), "n_links": F.coalesce("n_links", F.lit(0)).cast("long")})
     kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.select("vec_id", "n_links", "component_id", kept.alias("kept"))
+
+
+SQL = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= {CLOSE}),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS low FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, least(e.vec_id, coalesce(m.low, e.vec_id)) AS component_id, e.vec_id = least(e.vec_id, coalesce(m.low, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN m ON m.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""

@@ -70,4 +70,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_topk": op1_topk.SQL,
     "op6_source_mix": op6_mixing.SQL,
+    "op8_minhash_dedup": op8_near_dedup.SQL,
+    "op10_vector_dedup": op10_vectors.SQL,
 }

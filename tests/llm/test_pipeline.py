@@ -59,3 +59,12 @@ def test_extra_columns_and_repeats(spark):
     docs = spark.createDataFrame([(1, "a b c d", "en", "s", 1, "x")] * 3, "doc_id long, text string, lang string, source string, n_chars long, kept string")
     assert P.near_dedup(spark, docs, "").count() == 1
     assert P.language(spark, docs.withColumn("lang_pred", F.lit("q")), "").columns == list(P.COLUMNS)
+
+
+def test_queries_equal_their_sql(spark, sf, duck):
+    from conftest import rows_of
+
+    from curblake.llm.queries import ORACLE_SQL, QUERIES
+
+    for name, sql in ORACLE_SQL.items():
+        assert rows_of(QUERIES[name](spark, sf).toPandas()) == rows_of(duck.execute(sql).df()), name
