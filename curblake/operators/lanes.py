@@ -51,3 +51,10 @@ def resolve_lanes(rows: DataFrame, legal: DataFrame, crosses: DataFrame) -> Data
     some = numbered.groupBy("row").agg(F.bool_or("_hit").alias("_any"))
     left = numbered.join(some, "row").where(~F.col("_any") | F.col("_hit"))
     return left.groupBy("row").agg(F.min("legal").alias("legal"), F.countDistinct("legal").alias("_k")).where("_k = 1").drop("_k")
+
+
+def choose_by_graph(candidates: DataFrame, statuses: DataFrame) -> DataFrame:
+    """candidates(row, legal) and statuses(row, legal, status) of the path between the row's crosses on each lane ->
+    (row, legal) where exactly one candidate has a single best path."""
+    fine = candidates.join(statuses.where("status = 'ok'").select("row", "legal").distinct(), ["row", "legal"], "left_semi")
+    return fine.groupBy("row").agg(F.min("legal").alias("legal"), F.countDistinct("legal").alias("_k")).where("_k = 1").drop("_k")

@@ -111,3 +111,25 @@ def usable(piece: Column) -> Column:
     """At least two points, all finite, and not of no length."""
     fine = F.forall(piece, lambda p: ~F.isnan(p["x"]) & ~F.isnan(p["y"]) & (F.abs(p["x"]) < float("inf")) & (F.abs(p["y"]) < float("inf")))
     return (F.size(piece) >= 2) & F.coalesce(fine, F.lit(False)) & (L.length(piece) >= TOLERANCE)
+
+
+def collapse_cause(rows: DataFrame, length: str = "metres", far: float = 25.0) -> DataFrame:
+    """Adds cause and attribution to collapsed spans.
+
+    Reads raw0, raw1 (places before clamping), d0, d1, and for blocks the distances of both crossings from the line
+    (start_apart, end_apart) and how many matched (start_matches, end_matches).
+    """
+    r0, r1, d0, d1, end = F.col("raw0"), F.col("raw1"), F.col("d0"), F.col("d1"), F.col(length)
+    at_start, at_end = (d0 < TOLERANCE) & (d1 < TOLERANCE), (F.abs(d0 - end) < TOLERANCE) & (F.abs(d1 - end) < TOLERANCE)
+    both = (r0 != d0) & (r1 != d1)
+    clamped = first((both & at_start, F.lit("relative_extension_clamp_start")), (both & at_end, F.lit("relative_extension_clamp_end")), (at_start, F.lit("perfect_offset_clamp_start")), (at_end, F.lit("perfect_offset_clamp_end")), default=F.lit("relative_extension_clamp_end"))
+    high0, high1 = F.coalesce(F.col("start_apart") > far, F.lit(False)), F.coalesce(F.col("end_apart") > far, F.lit(False))
+    parts = F.array_compact(F.array(
+        F.when(F.col("start_matches") > 1, "ambiguous_start_match"), F.when(F.col("end_matches") > 1, "ambiguous_end_match"),
+        F.when(high0 & high1, "high_perp_both").when(high0, "high_perp_start").when(high1, "high_perp_end"), F.when(end < 50, "short_centreline"),
+    ))
+    block = F.col("rule_type").isin(*BLOCKS)
+    cause = first((end.isNull(), F.lit("no_street_line")), (F.abs(d0 - d1) >= TOLERANCE, F.lit(None).cast("string")), (block, F.lit("block_projection_collapse")), ((r0 != d0) | (r1 != d1), clamped), default=F.lit("anchor_equals_terminus"))
+    rows = computed(rows, cause=cause, subcause=F.when(block, F.when(F.size(parts) > 0, F.array_join(parts, "|")).otherwise("projection_same_dist")))
+    said = first((F.col("cause").isNull(), F.lit(None).cast("string")), (F.col("cause") == "anchor_equals_terminus", F.lit("valid_point_zone")), (F.col("cause").contains("clamp"), F.lit("clamp_at_endpoint")), (F.col("cause") == "block_projection_collapse", F.lit("centreline_geometry")), default=F.lit("investigate"))
+    return rows.withColumn("attribution", said)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from curblake.functions import lines as L
 from curblake.functions import names as N
 from curblake.functions.between import COMPASS, primary_compass, qualifier
-from curblake.operators import lanes, resolve, slicing
+from curblake.operators import lanes, placement, resolve, slicing
 from curblake.plans import pipeline
 from curblake.plans import views as V
 from curblake.plans.space_queries import _IX, _PAIRS, ALIASES, LEGAL, LINES, _index, _lines
@@ -140,4 +140,41 @@ def ledger_detail_cross(spark, sf):  # noqa: ANN001, ANN201
     return n.select(F.col("n_nationkey").alias("id"), N.cross_of_detail(F.concat(F.lit("start_intersection='"), "n_name", F.lit("'"))).alias("cross_street"))
 
 
+@query(V.oracle("SELECT row, legal FROM (SELECT c_nationkey AS row, min(c_custkey) AS legal, count(*) AS n FROM {customer} WHERE c_custkey % 40 = 0 GROUP BY 1) WHERE n = 1"))
+def lane_by_graph(spark, sf):  # noqa: ANN001, ANN201
+    """Exactly one candidate with a single best path."""
+    c = V.frame(spark, sf, "SELECT c_nationkey AS row, c_custkey AS legal FROM {customer}")
+    return lanes.choose_by_graph(c, c.withColumn("status", F.when(F.col("legal") % 40 == 0, "ok").otherwise("tied")))
+
+
+_COLLAPSE = "SELECT c_custkey AS id, CASE WHEN c_custkey % 5 = 0 THEN 'block' ELSE 'perfect_offset' END AS rule_type, CAST(40 + c_custkey % 30 AS DOUBLE) AS metres, CAST(CASE c_custkey % 4 WHEN 0 THEN -5 WHEN 1 THEN 40 + c_custkey % 30 WHEN 2 THEN 7 ELSE 9 END AS DOUBLE) AS raw0, CAST(CASE c_custkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 200 WHEN 2 THEN 7 ELSE 12 END AS DOUBLE) AS raw1, CAST(c_custkey % 60 AS DOUBLE) AS start_apart, CAST(c_custkey % 37 AS DOUBLE) AS end_apart, c_custkey % 3 AS start_matches, c_custkey % 2 AS end_matches FROM {customer}"
+_CAUSE = "CASE WHEN abs(d0 - d1) >= 0.001 THEN NULL WHEN rule_type = 'block' THEN 'block_projection_collapse' WHEN raw0 <> d0 OR raw1 <> d1 THEN CASE WHEN d0 < 0.001 AND d1 < 0.001 THEN 'perfect_offset_clamp_start' ELSE 'perfect_offset_clamp_end' END ELSE 'anchor_equals_terminus' END"
+
+
+@query(V.oracle(f"SELECT id, {_CAUSE} AS cause, CASE WHEN abs(d0 - d1) >= 0.001 THEN NULL WHEN rule_type = 'block' THEN 'centreline_geometry' WHEN raw0 <> d0 OR raw1 <> d1 THEN 'clamp_at_endpoint' ELSE 'valid_point_zone' END AS attribution FROM (SELECT *, least(greatest(raw0, 0), metres) AS d0, least(greatest(raw1, 0), metres) AS d1 FROM c)", c=_COLLAPSE))
+def collapse_diagnosis(spark, sf):  # noqa: ANN001, ANN201
+    """V04."""
+    rows = V.frame(spark, sf, _COLLAPSE)
+    clamp = lambda c: F.least(F.greatest(F.col(c), F.lit(0.0)), F.col("metres"))
+    return slicing.collapse_cause(rows.withColumns({"d0": clamp("raw0"), "d1": clamp("raw1")})).select("id", "cause", "attribution")
+
+
+_PLACED = """
+SELECT line_id, CASE line_id % 4 WHEN 0 THEN 'left' WHEN 1 THEN 'right' WHEN 2 THEN 'both' END AS side, CASE line_id % 4 WHEN 3 THEN 'unresolved' ELSE 'road_edge' END AS method, CASE line_id % 4 WHEN 3 THEN 0.0 ELSE 1.0 END AS confidence,
+  CASE line_id % 4 WHEN 1 THEN -(6.0 + line_id % 3) WHEN 3 THEN 0.0 ELSE 7.0 + line_id % 5 END AS first_y, CASE line_id % 4 WHEN 2 THEN 2 ELSE 1 END AS lines FROM l WHERE line_id <= 200"""
+
+
+@query(V.oracle("SELECT * FROM s", l=LINES, s=_PLACED))
+def curb_place(spark, sf):  # noqa: ANN001, ANN201
+    """Straight pieces between two walls, by the wanted side."""
+    far = F.col("line_id") * 1000.0
+    l = _lines(spark, sf).where("line_id <= 200").withColumn("piece", F.array(L.point(far, F.lit(0)), L.point(far + F.col("len"), F.lit(0))))  # noqa: E741
+    wall = lambda n, y: F.struct((F.col("line_id") * 2 + n).alias("wall_id"), L.point(far - 5, y).alias("p"), L.point(far + F.col("len") + 5, y).alias("q"))
+    walls = l.select(F.explode(F.array(wall(0, 7.0 + F.col("line_id") % 5), wall(1, -(6.0 + F.col("line_id") % 3)))).alias("w")).select("w.*")
+    k = F.col("line_id") % 4
+    rows = l.select(F.col("line_id").alias("row_id"), "piece", F.when(k == 2, "multi").when(k == 3, "unresolved").otherwise("single").alias("mode"), F.when(k == 0, F.array(F.lit("north"))).when(k == 1, F.array(F.lit("south"))).alias("directions"))
+    got = placement.place(rows, walls)
+    return got.select(F.col("row_id").alias("line_id"), F.col("side_found").alias("side"), "method", F.round("confidence", 6).alias("confidence"), F.round(F.col("curb")[0][0]["y"], 6).alias("first_y"), F.size("curb").alias("lines"))
+
+
 __all__ = ["LEGAL", "ORACLE_SQL", "QUERIES"]
