@@ -224,8 +224,8 @@ def deduplicate(vectors: DataFrame) -> DataFrame:
     found, _ = neighbour_graph(vectors.sparkSession, nodes)
     found = spool(found, "vector-components")
     linked = spool(enlarge(found, nodes), "links")
-    named = nodes.select("node", "rep", "copies").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = spool(named.where((F.col("copies") > 1) | (F.col("component") != F.col("node"))).unionByName(named.join(found.select(F.col("component").alias("node")).distinct(), "node", "left_semi")).distinct(), "named-nodes")
+    named = nodes.select("node", "rep", "copies").join(found, "node", "left").where((F.col("copies") > 1) | F.col("component").isNotNull())
+    named = spool(named.withColumn("component", F.coalesce("component", "node")), "named-nodes")
     lowest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = spool(named.join(lowest, "component").join(linked, "node", "left").select("node", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "named-nodes")
     out = rows.join(named, "node", "left").withColumns({"component_id": F.coalesce("component_id", "vec_id"), "n_links": F.coalesce("n_links", F.lit(0)).cast("long")})
