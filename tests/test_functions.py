@@ -140,3 +140,23 @@ def test_streaming_membership(spark, sf, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("active").count() > 0
+
+
+def test_sql_functions(spark):
+    from curblake.plans.pipeline import register
+
+    register(spark)
+    text = "9:00 a.m. to 5:00 p.m., Sat."
+    assert json.loads(spark.sql(f"SELECT parse_schedule_json('{text}', '{text}')").first()[0])["status"] == "ok"
+    rows = spark.sql("""SELECT w.* FROM VALUES ('{"windows":[{"days":[6],"startMinute":540,"endMinute":1020}]}') AS t(d), LATERAL explode_windows(t.d) AS w""").collect()
+    assert [tuple(r) for r in rows] == [(6, 540, 1020)]
+
+
+def test_results_do_not_depend_on_partitions(spark):
+    from curblake.operators import curbs
+
+    hits = spark.createDataFrame([(k, float(s), float((k * s) % 7) if (k + s) % 4 else None) for k in range(20) for s in range(30)], "line int, s double, hit double")
+    for f in (curbs.runs, curbs.fill_gaps, curbs.reject_jumps):
+        assert sorted(map(str, f(hits.repartition(1)).collect())) == sorted(map(str, f(hits.repartition(8)).collect()))
+    near = spatial.within(spark.createDataFrame([(1, [(0.0, 0.0), (100.0, 0.0)])], "line_id int, line array<struct<x:double,y:double>>"), spark.createDataFrame([(i, float(i), float(i % 30)) for i in range(130)], "point_id int, x double, y double"), 12.0)
+    assert {r.point_id for r in near.collect()} == {i for i in range(130) if (max(0, i - 100) ** 2 + (i % 30) ** 2) ** 0.5 <= 12}
