@@ -5,8 +5,10 @@ lists start from leaves of random hyperplane trees and are refined by joins with
 neighbours: the neighbours of a node, and those that have it as neighbour, are compared with each other.
 Then recall is audited: a bounded sample of nodes is compared with all nodes of its label; below RECALL,
 more leaves are drawn and refined.  Edges of a cosine of at least CLOSE are kept.  Where a list is
-saturated (more links than it holds) it is enlarged to the node's whole component, compared in blocks,
-which counts links without listing them.
+saturated (full, the worst entry at least CLOSE) it may lack links to other components: all components
+of a label that have such a node are compared with each other, exactly, by balls around blocks of their
+nodes and node by node where two balls come near enough.  Last, each list is enlarged to the node's
+whole component, compared in blocks, which counts links without listing them.
 
 A large leaf or neighbourhood is split at random into parts that are compared within themselves, with
 another split each round; nothing is left out for good.  Vectors that are null, zero, have a null or
@@ -172,6 +174,98 @@ def recall(nodes: DataFrame, found: DataFrame) -> float:
     return both[1] / both[0] if both[0] else 1.0
 
 
+def saturated(graph: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, component) of the components with a node whose list is full of links."""
+    full = graph.groupBy("node").agg(F.count("*").alias("n"), F.min("sim").alias("worst")).where((F.col("n") >= NEIGHBOURS) & (F.col("worst") >= CLOSE))
+    return found.join(found.join(full, "node").select("component").distinct(), "component").select("node", "component")
+
+
+def _balls(members: DataFrame) -> DataFrame:
+    """members(label, component, block, unit) -> a centre and the largest angle from it for each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, at, centres, radii = matrix(batch["units"].flatten()), 0, [], []
+            for n in batch["units"].value_lengths().to_pylist():
+                own = x[at : at + n]
+                at += n
+                mean = own.mean(axis=0)
+                long = np.linalg.norm(mean)
+                centre = mean / long if long > 0 else own[0]
+                centres.append(centre.tolist())
+                radii.append(float(np.arccos(np.clip(own @ centre, -1, 1)).max()))
+            yield pa.RecordBatch.from_arrays([batch["component"], batch["block"], pa.array(centres, pa.list_(pa.float64())), pa.array(radii, pa.float64())], ["component", "block", "centre", "radius"])
+
+    small_batches(members.sparkSession, 64)
+    grouped = members.groupBy("label", "component", "block").agg(F.collect_list("unit").alias("units"))
+    found = grouped.select("component", "block", "units").mapInArrow(run, "component long, block int, centre array<double>, radius double")
+    return found.join(members.select("label", "component").distinct(), "component")
+
+
+def _near_balls(balls: DataFrame) -> DataFrame:
+    """Pairs of balls of a label and two components that may hold a link (triangle inequality of angles)."""
+    sizes = balls.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"), F.count_distinct("component").alias("n")).where(F.col("n") > 1)
+    dealt = balls.join(spool(sizes.drop("n"), "ball-parts"), "label").withColumn("part", _salt(F.col("parts"), "component", "block").cast("int"))
+    paired = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    paired = paired.withColumns({"lo": F.least("part", "with"), "hi": F.greatest("part", "with")})
+    groups = paired.groupBy("label", "lo", "hi").agg(F.collect_list(F.struct("component", "block", "part", "centre", "radius")).alias("members"))
+    small_batches(balls.sparkSession, 64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch["members"].flatten()
+            if not len(flat):
+                continue
+            component, block, part = (flat.field(c).to_numpy() for c in ("component", "block", "part"))
+            centre, radius, at = matrix(flat.field("centre")), flat.field("radius").to_numpy(), 0
+            for n, lo, hi in zip(batch["members"].value_lengths().to_pylist(), batch["lo"].to_pylist(), batch["hi"].to_pylist(), strict=True):
+                s = slice(at, at + n)
+                at += n
+                angle = np.arccos(np.clip(centre[s] @ centre[s].T, -1, 1))
+                near = angle <= radius[s][:, None] + radius[s][None, :] + np.arccos(CLOSE) + 1e-6
+                near &= component[s][:, None] < component[s][None, :]
+                if lo != hi:
+                    near &= part[s][:, None] != part[s][None, :]
+                i, j = np.nonzero(near)
+                yield pa.RecordBatch.from_arrays([pa.array(component[s][i]), pa.array(component[s][j]), pa.array(block[s][i]), pa.array(block[s][j])], ["a", "b", "block_a", "block_b"])
+
+    return groups.select("members", "lo", "hi").mapInArrow(run, "a long, b long, block_a int, block_b int")
+
+
+def across(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """found(node, component) -> (a, b): all pairs of components of a label with a link between them, exactly."""
+    sizes = spool(found.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "across-blocks")
+    members = found.join(sizes, "component").withColumn("block", _salt(F.col("blocks"), "node").cast("int")).join(nodes.select("node", "label", "unit"), "node")
+    members = spool(members.select("label", "component", "block", "unit"), "across-members")
+    near = spool(_near_balls(spool(_balls(members), "balls")), "near-balls")
+    side = lambda c: near.select("a", "b", "block_a", "block_b", F.col(c).alias("component"), F.col(f"block_{c}").alias("block"), F.lit(c == "a").alias("first"))
+    both = side("a").unionByName(side("b")).join(members.drop("label"), ["component", "block"])
+    groups = both.groupBy("a", "b", "block_a", "block_b").agg(F.collect_list(F.struct("first", "unit")).alias("members"))
+    small_batches(found.sparkSession, 64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch["members"].flatten()
+            if not len(flat):
+                continue
+            first, units, at, hit = flat.field("first").to_numpy(zero_copy_only=False).astype(bool), matrix(flat.field("unit")), 0, []
+            for n in batch["members"].value_lengths().to_pylist():
+                x, f = units[at : at + n], first[at : at + n]
+                at += n
+                hit.append(bool((x[f] @ x[~f].T >= CLOSE).any()))
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(hit))
+
+    return groups.select("members", "a", "b").mapInArrow(run, "a long, b long").distinct()
+
+
+def merged(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """found with the components of each pair as one."""
+    joined = components(pairs).select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    return found.join(joined, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+
+
 def enlarge(found: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, linked): the number of vectors of other nodes with a cosine of at least CLOSE, by comparing components in blocks."""
     sizes = spool(found.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "component-blocks")
@@ -210,7 +304,8 @@ def neighbour_graph(spark: SparkSession, nodes: DataFrame) -> tuple[DataFrame, f
         graph = spool(_top(found if graph is None else graph.unionByName(found)), "graph")
         for turn in range(REFINE):
             graph = spool(refine(graph, nodes, 100 * more + turn), "graph")
-        linked = components(links_of(graph))
+        linked = spool(components(links_of(graph)), "linked")
+        linked = spool(merged(linked, across(saturated(graph, linked), nodes)), "linked")
         reached = recall(nodes, linked)
         if reached >= RECALL:
             break

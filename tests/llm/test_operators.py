@@ -299,3 +299,30 @@ def test_vector_dedup_equals_brute_force(spark):
     assert all(got[i][0] <= len(links[i]) for i in links) and found >= 0.95 * true
     assert got[5001][:2] == (1, 0) and got[5000][0] == 0 and all(got[i] == (0, i, True) for i in (5002, 5003, 5004, 5005, 5006, 5007))
     assert op10_vectors.deduplicate(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def groups_of_near_copies(sizes, within=0.998, across=0.987):
+    """Unit vectors of groups: a cosine of `within` in a group, within * across between two groups."""
+    many, wide = len(sizes), 1 + len(sizes) + sum(sizes)
+    out, at = [], 1 + many
+    for g, n in enumerate(sizes):
+        for _ in range(n):
+            v = np.zeros(wide)
+            v[0], v[1 + g], v[at] = np.sqrt(within * across), np.sqrt(within * (1 - across)), np.sqrt(1 - within)
+            out.append([float(x) for x in v])
+            at += 1
+    return out
+
+
+@pytest.mark.parametrize("sizes", [(12, 12), (12, 30, 10)])
+def test_vector_dedup_links_groups_whose_lists_are_full_of_their_own(spark, sizes):
+    rows = [(i, 1, v) for i, v in enumerate(groups_of_near_copies(sizes))]
+    got = op10_vectors.deduplicate(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
+    n = len(rows)
+    assert {(r.vec_id, r.n_links, r.component_id, r.kept) for r in got} == {(i, n - 1, 0, i == 0) for i in range(n)}
+
+
+def test_vector_dedup_keeps_far_groups_and_labels_apart(spark):
+    rows = [(100 * label + i, label, v) for label in (1, 2) for i, v in enumerate(groups_of_near_copies((12, 12), across=0.97))]
+    got = op10_vectors.deduplicate(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(100 * label + i, 11, 100 * label + i // 12 * 12) for label in (1, 2) for i in range(24)}
