@@ -3,8 +3,9 @@
 Equal vectors of a label are one node.  Each node has a list of its NEIGHBOURS most similar nodes.  The
 lists start from leaves of random hyperplane trees and are refined by joins with the neighbours of
 neighbours: the neighbours of a node, and those that have it as neighbour, are compared with each other.
-Then recall is audited: a bounded sample of nodes is compared with all nodes of its label; below RECALL,
-more leaves are drawn and refined.  Edges of a cosine of at least CLOSE are kept.  Where a list is
+This is repeated until few edges are new.  Then recall is audited: a bounded sample of nodes, one a
+component, is compared with all nodes of its label; below RECALL, more leaves are drawn and refined, and
+after MORE such rounds all nodes of each label are compared exactly.  Edges of a cosine of at least CLOSE are kept.  Where a list is
 saturated (full, the worst entry at least CLOSE) it may lack links to other components: all components
 of a label that have such a node are compared with each other, exactly, by balls around blocks of their
 nodes and node by node where two balls come near enough.  Last, each list is enlarged to the node's
@@ -35,7 +36,9 @@ NEIGHBOURS = 8
 TREES, LEAF, BITS = 4, 96, 30
 #: Members of a neighbourhood that are compared at once.
 HOOD = 32
-REFINE, RECALL, AUDIT, MORE = 1, 0.97, 256, 3
+RECALL, AUDIT, MORE = 0.97, 256, 3
+#: Refinement ends when at most this share of the edges is new in a round.
+STILL = 0.01
 BLOCK = 512
 
 EDGE = "node long, other long, sim double"
@@ -143,9 +146,26 @@ def links_of(graph: DataFrame) -> DataFrame:
     return graph.where(F.col("sim") >= CLOSE).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
+def _sampled(nodes: DataFrame, found: DataFrame) -> list[dict]:
+    """AUDIT nodes at most, one a component, half of them from nodes without a link; with the number of components each stands for."""
+    own = nodes.select("node").join(found, "node", "left").withColumn("linked", F.col("component").isNotNull())
+    one = own.groupBy("linked", F.coalesce("component", "node").alias("c")).agg(F.min_by("node", F.xxhash64("node", F.lit(7))).alias("node"))
+    one = spool(one.select("linked", "node"), "audit-nodes")
+    many = {r["linked"]: r["count"] for r in one.groupBy("linked").count().collect()}
+    picked = None
+    for linked, n in many.items():
+        part = one.where(F.col("linked") == F.lit(linked)).orderBy(F.xxhash64("node")).limit(AUDIT // 2).withColumn("weight", F.lit(n / min(n, AUDIT // 2)))
+        picked = part if picked is None else picked.unionByName(part)
+    return [] if picked is None else picked.join(nodes.select("node", "label", "unit"), "node").select("node", "label", "unit", "weight").toArrow().to_pylist()
+
+
 def recall(nodes: DataFrame, found: DataFrame) -> float:
-    """Share of the sampled nodes' true links whose ends are in one component.  The sample has AUDIT nodes at most."""
-    sample = nodes.select("node", "label", "unit").orderBy(F.xxhash64("node")).limit(AUDIT).toArrow().to_pylist()
+    """Mean over the sampled nodes that have true links, by weight, of the share of them that are in the node's component.
+
+    A group counts once, however many links it has.  1.0 where no sampled node has a link: as every found
+    component would be sampled first, there are no links at all or few nodes with missed ones.
+    """
+    sample = _sampled(nodes, found)
     if not sample:
         return 1.0
     by_label: dict[tuple, list] = {}
@@ -170,8 +190,11 @@ def recall(nodes: DataFrame, found: DataFrame) -> float:
 
     true = nodes.select("node", "label", "unit").mapInArrow(run, "a long, b long")
     own = lambda side: found.select(F.col("node").alias(side), F.col("component").alias(f"c{side}"))
-    both = true.join(own("a"), "a", "left").join(own("b"), "b", "left").agg(F.count("*"), F.count_if(F.col("ca") == F.col("cb"))).first()
-    return both[1] / both[0] if both[0] else 1.0
+    both = true.join(own("a"), "a", "left").join(own("b"), "b", "left")
+    each = both.groupBy("a").agg((F.count_if(F.col("ca") == F.col("cb")) / F.count("*")).alias("share")).collect()
+    weight = {r["node"]: r["weight"] for r in sample}
+    whole = sum(weight[r["a"]] for r in each)
+    return sum(weight[r["a"]] * r["share"] for r in each) / whole if whole else 1.0
 
 
 def saturated(graph: DataFrame, found: DataFrame) -> DataFrame:
@@ -296,20 +319,37 @@ def enlarge(found: DataFrame, nodes: DataFrame) -> DataFrame:
     return groups.select("members", "lo", "hi").mapInArrow(run, "node long, linked long").groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
+def converged(graph: DataFrame, nodes: DataFrame, seed: int) -> DataFrame:
+    """graph refined until less than STILL of its edges are new in a round."""
+    turn = 0
+    while True:
+        after = spool(refine(graph, nodes, seed + turn), "graph")
+        new = after.join(graph.select("node", "other"), ["node", "other"], "left_anti").count()
+        graph, turn = after, turn + 1
+        if new <= STILL * graph.count():
+            return graph
+
+
 def neighbour_graph(spark: SparkSession, nodes: DataFrame) -> tuple[DataFrame, float]:
-    """(node, component) of linked nodes after NN-descent, and the audited recall."""
+    """(node, component) of linked nodes after NN-descent, and the audited recall; exact where the audit stays below RECALL."""
     graph = None
     for more in range(1 + MORE):
         found = leaves(nodes, more)
         graph = spool(_top(found if graph is None else graph.unionByName(found)), "graph")
-        for turn in range(REFINE):
-            graph = spool(refine(graph, nodes, 100 * more + turn), "graph")
+        graph = converged(graph, nodes, 1000 * more)
         linked = spool(components(links_of(graph)), "linked")
         linked = spool(merged(linked, across(saturated(graph, linked), nodes)), "linked")
         reached = recall(nodes, linked)
         if reached >= RECALL:
-            break
-    return linked, reached
+            return linked, reached
+    return exact(linked, nodes), 1.0
+
+
+def exact(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """found(node, component) with every link of each label's nodes; a node without one is compared as a component of its own."""
+    every = spool(nodes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "every-node")
+    whole = spool(merged(every, across(every, nodes)), "every-node")
+    return whole.join(whole.groupBy("component").count().where(F.col("count") > 1).select("component"), "component").select("node", "component")
 
 
 def deduplicate(vectors: DataFrame) -> DataFrame:

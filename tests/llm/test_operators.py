@@ -326,3 +326,24 @@ def test_vector_dedup_keeps_far_groups_and_labels_apart(spark):
     rows = [(100 * label + i, label, v) for label in (1, 2) for i, v in enumerate(groups_of_near_copies((12, 12), across=0.97))]
     got = op10_vectors.deduplicate(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
     assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(100 * label + i, 11, 100 * label + i // 12 * 12) for label in (1, 2) for i in range(24)}
+
+
+def test_vector_dedup_audit_counts_groups_not_links(spark):
+    """A large group that is found whole doesn't hide three pairs that are missed."""
+    large = groups_of_near_copies((40,))
+    wide = len(large[0]) + 6
+    pairs = [[float(i == len(large[0]) + 2 * p) + 0.1 * (i == len(large[0]) + 2 * p + 1) * k for i in range(wide)] for p in range(3) for k in (0, 1)]
+    rows = [(i, 1, v + [0.0] * 6) for i, v in enumerate(large)] + [(100 + i, 1, v) for i, v in enumerate(pairs)]
+    _, nodes = op10_vectors.nodes_of(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>"))
+    nodes = nodes.persist()
+    first = nodes.where("rep < 100").agg(F.min("node")).first()[0]
+    found = nodes.where("rep < 100").select("node", F.lit(first).alias("component"))
+    assert op10_vectors.recall(nodes, found) < op10_vectors.RECALL
+
+
+def test_vector_dedup_is_exact_where_the_audit_fails(spark, monkeypatch):
+    monkeypatch.setattr(op10_vectors, "MORE", 0)
+    monkeypatch.setattr(op10_vectors, "leaves", lambda nodes, seed: spark.createDataFrame([], op10_vectors.EDGE))
+    rows = [(i, 1, v) for i, v in enumerate(groups_of_near_copies((3, 4)))]
+    got = op10_vectors.deduplicate(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, 6, 0) for i in range(7)}
