@@ -7,6 +7,7 @@ as one function a street, as streets are small (a street with more edges than a
 from __future__ import annotations
 
 from collections import deque
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -38,14 +39,15 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     return label
 
 
-def hops(edges: DataFrame, sources: DataFrame, most: int = 100) -> DataFrame:
-    """(street, source, node, hops) by breadth first; each level joins only the nodes that are new."""
+def hops(edges: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
+    """(street, source, node, hops) by breadth first, to `most` hops or to the end; each level joins only the nodes that are new."""
     both = adjacency(edges.select("street", "a", "b")).distinct().persist()
     seen = cut(sources.select("street", "source", F.col("source").alias("node"), F.lit(0).alias("hops")))
-    front = seen
-    for level in range(1, most + 1):
+    front, last = seen, seen.drop("hops")  # the neighbours of a level lie in it, the one before, or the next
+    for level in count(1) if most is None else range(1, most + 1):
         step = front.select("street", "source", F.col("node").alias("a")).join(both, ["street", "a"]).select("street", "source", F.col("b").alias("node")).distinct()
-        front = cut(step.join(seen, ["street", "source", "node"], "left_anti").withColumn("hops", F.lit(level)))
+        before, last = last, front.drop("hops")
+        front = cut(step.join(before.unionByName(last), ["street", "source", "node"], "left_anti").withColumn("hops", F.lit(level)))
         if front.isEmpty():
             break
         seen = seen.unionByName(front)

@@ -160,3 +160,9 @@ def test_results_do_not_depend_on_partitions(spark):
         assert sorted(map(str, f(hits.repartition(1)).collect())) == sorted(map(str, f(hits.repartition(8)).collect()))
     near = spatial.within(spark.createDataFrame([(1, [(0.0, 0.0), (100.0, 0.0)])], "line_id int, line array<struct<x:double,y:double>>"), spark.createDataFrame([(i, float(i), float(i % 30)) for i in range(130)], "point_id int, x double, y double"), 12.0)
     assert {r.point_id for r in near.collect()} == {i for i in range(130) if (max(0, i - 100) ** 2 + (i % 30) ** 2) ** 0.5 <= 12}
+
+
+def test_hops_reach_the_end_of_a_long_street(spark):
+    edges = spark.createDataFrame([(1, i, i + 1) for i in range(104)], "street int, a long, b long")
+    found = graph.hops(edges, spark.createDataFrame([(1, 0)], "street int, source long")).select("node", "hops").collect()
+    assert sorted(map(tuple, found)) == [(i, i) for i in range(105)]
