@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from curblake.llm import op1_topk, op2_urls, op3_bpe, op4_language, op5_quality, op6_mixing, op7_html, op8_near_dedup, op9_pii, op10_vectors, queries
+from curblake.llm import op1_topk, op2_urls, op3_bpe, op4_language, op5_quality, op6_mixing, op8_near_dedup, op9_pii, op10_vectors, queries
 
 EMPTY_DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Nulls, empties, repeated rows and columns whose names the operators use themselves.
@@ -179,26 +179,6 @@ def test_mix_targets_caps_and_order(spark, awkward):
     assert op6_mixing.summary(spark.createDataFrame([], EMPTY_DOCS)).count() == 0
 
 
-# ---- op7 ----
-PAGE = "<html><head><title>t</title></head><body><nav>menu</nav><div class='ad'>buy</div><article><h1>Head &amp; line</h1><p>One  <i>two</i><br>three<p>Four &lt; five</article><div class='comments'><article><p>me first</p></article></div><footer>c</footer></body>"
-
-
-def test_html_main_text():
-    assert op7_html.Page(PAGE).main_text() == "Head & line\n\nOne two three\n\nFour < five"
-    assert op7_html.Page("<p title='a>b'>x</p><script>if (a<b) '</p>'</script>y<ul><li>1<li>2</ul>").main_text() == "x\n\ny\n\n1\n\n2"
-    assert op7_html.Page("").main_text() == "" and op7_html.Page("<<< a < b <").main_text() != ""
-
-
-def test_html_templates_are_removed_and_articles_stay(spark):
-    page = lambda i: f"<body><div id=top>Site of all sites</div><div><p>Text number {i} of its own</p></div><section><p>Read more here</p></section></body>"
-    rows = [(i, f"http://h.com/{i}", page(i)) for i in range(12)] + [(100 + i, f"http://h.com/a{i}", "<article><p>Copied text that is the same</p></article>") for i in range(9)] + [(200, None, None), (201, "x", ""), (202, "http://other.com/", page(1))]
-    got = {r.page_id: r for r in op7_html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))).collect()}
-    assert got[3].text == "Text number 3 of its own" and got[3].n_chars == len(got[3].text)
-    assert got[104].text == "Copied text that is the same" and got[200].text == "" and got[201].n_chars == 0
-    assert got[202].text.startswith("Site of all sites")
-    assert op7_html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
-
-
 # ---- op8 ----
 def brute_groups(rows):
     sets = {}
