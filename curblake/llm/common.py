@@ -14,45 +14,60 @@ from pyspark.sql import functions as F
 #: ASCII white space of the contracts, as a character class body.
 WHITE = r"\x20\x09-\x0D"
 
-_spooled: list[tuple[SparkSession, str]] = []
+_spooled: dict[str, SparkSession] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a private one only where it is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``.  A private one only where it is unset and all runs in one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        root = tempfile.mkdtemp(prefix="curblake-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return root
+    if root:
+        return root
+    context = spark.sparkContext._jsc.sc()
+    if not context.getCheckpointDir().isDefined():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="curblake-"))
+    return context.getCheckpointDir().get()
 
 
 def spool(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and gives the planner the real size, so that it
-    broadcasts what is small and shuffles what is not.  Removed when the driver ends.
+    broadcasts what is small and shuffles what is not.  Removed by `release`, or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_root(spark).rstrip('/')}/spool-{uuid.uuid4().hex}-{name}"
+    _spooled[path] = spark
     df.write.parquet(path)
-    _spooled.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.spooled = path
+    return out
+
+
+def release(*frames: DataFrame | None) -> None:
+    """Delete spooled tables that nothing will read again."""
+    for df in frames:
+        path = vars(df).get("spooled") if df is not None else None
+        spark = _spooled.pop(path, None)
+        if spark is None:
+            continue
+        try:
+            jvm = spark.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:  # noqa: BLE001, S110  the session may be gone; its cluster then cleans up
+            pass
+
+
+class _Path:
+    def __init__(self, spooled: str) -> None:
+        self.spooled = spooled
 
 
 def unspool() -> None:
     """Delete every spooled table; results that still read one must have been written before."""
-    while _spooled:
-        spark, path = _spooled.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # noqa: BLE001  the session may have ended already
-            return
+    release(*map(_Path, list(_spooled)))
 
 
 atexit.register(unspool)

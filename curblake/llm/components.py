@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curblake.llm.common import spool
+from curblake.llm.common import release, spool
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,8 +25,9 @@ def components(links: DataFrame) -> DataFrame:
         large = spool(large.where(F.col("low") != F.col("high")).distinct(), "large-star")
         low = large.groupBy("high").agg(F.min("low").alias("lowest"))
         small = large.join(low, "high").select(F.col("lowest").alias("a"), F.explode(F.array("low", "high")).alias("b"))
-        edges = spool(small.where(F.col("a") != F.col("b")).distinct(), "small-star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        after = spool(small.where(F.col("a") != F.col("b")).distinct(), "small-star")
+        release(edges, large)
+        edges, now = after, after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("component"))).distinct()
         seen = now

@@ -1,21 +1,33 @@
 """BPE encoding and decoding by a tokenization automaton.
 
-The merge list is compiled by successive merge gadgets.  At first there is one state per base
-symbol and every symbol may follow every other.  The gadget of a merge (u, v) -> w then
+The merge list is compiled by successive merge gadgets into a deterministic automaton over tokens.  At first
+there is one state per base symbol and every symbol may follow every other.  The gadget of a merge
+(u, v) -> w then
 
 * adds a state after w, a copy of the state after v as it is at that moment,
 * cuts the arc labelled v that leaves the state after u (u v may no longer stand side by side), and
 * gives every state that still has an arc u an arc w to the new state.
 
-After the last gadget the paths of the automaton are exactly the token sequences that applying
-the merges in order produces, so a word has one accepting path, and so has each of its prefixes.
-The gadgets are stored, not expanded (the full table would have vocabulary^2 cells): a state keeps
-what it was copied from and when, an arc label keeps the arc that it extends and when, and a cut
-keeps its time.  `alive` reads a cell of the transition table off these records, once per cell.
-Encoding a word walks the table from the left with a trie of labels; decoding emits arc labels.
-
-Null texts count as empty; an empty text has no tokens.  Repeated rows are encoded like any other,
-extra columns pass through `encode` untouched unless they carry one of its output names.
+After the last gadget the paths of the automaton are exactly the token sequences that applying the merges in
+order produces, so a word has one accepting path, and so has each of its prefixes.  The gadgets are stored,
+not expanded over all tokens (that table would have vocabulary^2 cells): a state keeps what it was copied
+from and when, an arc label keeps the arc that it extends and when, and a cut keeps its time; `alive` reads
+an arc off these records.
+
+Encoding reads symbols, so the automaton is expanded over the configurations that words reach: the arcs that
+are under way (the state each left, and the place in the trie of labels).  A cell of that transition table,
+(configuration, symbol), holds the next configuration and the label of the one arc that ends there; a word
+takes one look-up a symbol, and the labels are read back from its end.  Cells are made when first reached.
+Decoding emits arc labels.
+
+Words are normalised and pre-split as the vocabulary file says.  White space in ASCII parts words whatever
+the file's pattern is about, so texts are cut there, and each piece is looked up, or handled, once: ASCII
+pieces here, others by the tokenizer library's own normaliser and splitter, whose character tables are those
+to match.
+
+Null texts count as empty; an empty text has no tokens.  Lone surrogates, which no table can hold, count as
+U+FFFD.  Repeated rows are encoded like any other, extra columns pass through `encode` untouched unless they
+carry one of its output names.
 """
 
 from __future__ import annotations
@@ -23,7 +35,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import unicodedata
 from functools import lru_cache
 
 import pandas as pd
@@ -32,9 +43,11 @@ from pyspark.sql import DataFrame
 from curblake.llm.common import by_batch
 
 TOKENIZER = "word_bpe_49k.json"
-#: Distinct words (and table cells) that a Python worker remembers at once.
+#: Distinct pieces, and table cells, that a Python worker remembers at once.
 MEMORY = 200_000
-CELLS = 2_000_000
+CELLS = 500_000
+#: Bits of a symbol and of a token in a packed key.
+SYMBOL, TOKEN = 10, 20
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -56,17 +69,32 @@ class Automaton:
         self.dead = {vocab[u + v] for u, v in merges}  # labels that no gadget has made (yet)
         for rank, (u, v) in enumerate(merges, 1):  # a gadget copies at 2 x rank, then cuts, then extends at 2 x rank + 1
             self._gadget(vocab[u], vocab[v], vocab[u + v], 2 * rank)
-        self.cells: dict[int, bool] = {}
-        self.trie: dict = {}
+        self.symbols: dict[str, int] = {}
+        self.next: dict[int, int] = {}  # trie: node << SYMBOL | symbol -> node
+        self.ends, self.width = [-1], [0] * n  # node -> token; token -> its number of symbols
         for token, i in vocab.items():
             if i in self.dead:
                 continue
-            end = token.endswith(suffix) and len(token) > len(suffix)
-            body = token[: -len(suffix)] if end else token
-            node = self.trie
-            for symbol in [*body[:-1], body[-1] + suffix if end else body[-1]]:
-                node = node.setdefault(symbol, {})
-            node[None] = i
+            spelt, node = self.spell(token), 0
+            self.width[i] = len(spelt)
+            for symbol in spelt:
+                key = node << SYMBOL | self.symbols.setdefault(symbol, len(self.symbols))
+                node = self.next.setdefault(key, len(self.ends))
+                if node == len(self.ends):
+                    self.ends.append(-1)
+            self.ends[node] = i
+        self._forget()
+
+    def _forget(self) -> None:
+        self.under_way: list[tuple] = [((-1, 0),)]  # configuration -> (state, trie node) of its arcs
+        self.number: dict[tuple, int] = {self.under_way[0]: 0}
+        self.table: dict[int, int] = {}  # configuration << SYMBOL | symbol -> configuration << TOKEN | token
+
+    def spell(self, token: str) -> list[str]:
+        """The base symbols of a token; the word's end belongs to the last."""
+        end = token.endswith(self.suffix) and len(token) > len(self.suffix)
+        body = token[: -len(self.suffix)] if end else token
+        return [*body[:-1], body[-1] + self.suffix if end else body[-1]]
 
     def _gadget(self, u: int, v: int, w: int, when: int) -> None:
         if w in self.dead and not {u, v} & self.dead and self.alive(u, v, when):  # an arc that is gone can't be merged
@@ -89,35 +117,41 @@ class Automaton:
             else:  # the arc is the younger: it extends the arc of its first part
                 label, when = first[label], b + 1
 
-    def step(self, state: int, label: int) -> bool:
-        if state < 0:
-            return True
-        key = state << 20 | label
-        found = self.cells.get(key)
-        if found is None:
-            if len(self.cells) >= CELLS:
-                self.cells.clear()
-            found = self.cells[key] = self.alive(state, label, 1 << 60)
-        return found
-
-    def encode(self, symbols: list[str]) -> list[int]:
+    def _expand(self, here: int, symbol: int) -> int:
+        """The cell of a configuration and a symbol."""
+        going, done = [], None
+        for state, node in self.under_way[here]:
+            node = self.next.get(node << SYMBOL | symbol)
+            if node is None:
+                continue
+            token = self.ends[node]
+            if token >= 0 and (state < 0 or self.alive(state, token, 1 << 60)):
+                done = token
+            going.append((state, node))
+        if done is None:
+            raise ValueError("no arc ends here: a base symbol is missing from the vocabulary")
+        to = (*going, (done, 0))
+        number = self.number.setdefault(to, len(self.under_way))
+        if number == len(self.under_way):
+            self.under_way.append(to)
+        cell = self.table[here << SYMBOL | symbol] = number << TOKEN | done
+        return cell
+
+    def encode(self, symbols: list[int]) -> list[int]:
         """The labels on the word's only accepting path."""
-        n = len(symbols)
-        state, back = [None] * (n + 1), [0] * (n + 1)
-        state[0] = -1
-        for at in range(n):
-            here, node = state[at], self.trie
-            for to in range(at, n):
-                node = node.get(symbols[to])
-                if node is None:
-                    break
-                token = node.get(None)
-                if token is not None and state[to + 1] is None and self.step(here, token):
-                    state[to + 1], back[to + 1] = token, at
-        out, at = [], n
+        if len(self.table) >= CELLS:
+            self._forget()
+        here, ended, find, mask = 0, [], self.table.get, (1 << TOKEN) - 1
+        for symbol in symbols:
+            cell = find(here << SYMBOL | symbol)
+            if cell is None:
+                cell = self._expand(here, symbol)
+            ended.append(cell & mask)
+            here = cell >> TOKEN
+        out, at = [], len(ended)
         while at:
-            out.append(state[at])
-            at = back[at]
+            out.append(ended[at - 1])
+            at -= self.width[out[-1]]
         return out[::-1]
 
     def decode(self, ids: list[int]) -> list[str]:
@@ -131,90 +165,79 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in keep else chr(next(spare)) for b in range(256)]
 
 
-def _classes(limit: int = 0x250) -> tuple[str, str, str]:
-    """Letters, numbers and white space below ``limit`` as character class bodies."""
-    out = {"L": "", "N": "", "Z": ""}
-    for c in map(chr, range(limit)):
-        kind = "Z" if c in "\t\n\v\f\r\x85" else unicodedata.category(c)[0]
-        if kind in out:
-            out[kind] += re.escape(c)
-    return out["L"], out["N"], out["Z"]
-
-
 class Tokenizer:
     """Splitting, normalising and the automaton of one vocabulary file."""
 
     def __init__(self, path: str) -> None:
+        import tokenizers
+
         spec = json.load(open(path, encoding="utf-8"))
         model = spec["model"]
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.automaton = Automaton(model["vocab"], [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]], model["end_of_word_suffix"])
         self.automaton.label.update({i: t for t, i in self.specials.items()})
         self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")")
-        self.bytes = byte_symbols()
-        letters, numbers, white = _classes()
-        contractions = "'(?:s|t|re|ve|m|ll|d)"
-        self.ascii = re.compile(f"[a-z]+|{contractions}|[0-9]|[^{white}a-z0-9]+").findall
-        self.latin = re.compile(f"[{letters}]+|{contractions}|[{numbers}]|[^{white}{letters}{numbers}]+").findall
-        self.simple = re.compile("[\x00-ɏ]*").fullmatch
-        import regex
-
-        self.any = regex.compile(r"\p{L}+|" + contractions + r"|\p{N}|[^\p{Z}\t-\r\x85\p{L}\p{N}]+").findall
-        self.ids: dict[str, str] = _Words(self, 0)
-        self.decoded: dict[str, str] = _Words(self, 1)
-
-    def word(self, word: str) -> list[int]:
-        symbols = [self.bytes[b] for b in word.encode("utf-8", "surrogatepass")]
-        symbols[-1] += self.automaton.suffix
-        return self.automaton.encode(symbols)
-
-    def words(self, text: str) -> list[str]:
-        """The pre-split words; a special token stays whole."""
-        out: list[str] = []
-        for part in self.special.split(text) if "<|" in text else (text,):
+        self.inner, self.last = ([self.automaton.symbols[b + end] for b in byte_symbols()] for end in ("", self.automaton.suffix))
+        self.number = {b: i for i, b in enumerate(byte_symbols())}
+        # the library's normaliser and splitter, without its model
+        bare = tokenizers.Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": model | {"vocab": {}, "merges": []}}))
+        self.normal, self.split = bare.normalizer.normalize_str, bare.pre_tokenizer.pre_tokenize_str
+        self.ascii = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+").findall
+        self.pieces = re.compile(r"[^\t-\r ]+").findall
+        self.ids: dict[str, str] = _Pieces(self, 0)
+        self.decoded: dict[str, str] = _Pieces(self, 1)
+
+    def words(self, piece: str) -> list[bytes]:
+        """The pre-split words of a piece."""
+        if piece.isascii():
+            return [w.encode() for w in self.ascii(piece.lower())]
+        piece = piece.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+        return [bytes(map(self.number.__getitem__, w)) for w, _ in self.split(self.normal(piece))]
+
+    def piece(self, piece: str) -> list[int]:
+        """The ids of a text without white space."""
+        out: list[int] = []
+        for part in self.special.split(piece) if "<|" in piece else (piece,):
             if part in self.specials:
-                out.append(part)
+                out.append(self.specials[part])
                 continue
-            if not part.isascii():
-                part = unicodedata.normalize("NFC", part)
-                if "Σ" in part:
-                    part = part.replace("Σ", "σ")
-            part = part.lower()
-            out += (self.ascii if part.isascii() else self.latin if self.simple(part) else self.any)(part)
+            for word in self.words(part):
+                inner = self.inner
+                symbols = [inner[b] for b in word]
+                symbols[-1] = self.last[word[-1]]
+                out += self.automaton.encode(symbols)
         return out
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for word in self.words(text):
-            out += [self.specials[word]] if word in self.specials else self.word(word)
-        return out
+        return [i for piece in self.pieces(text) for i in self.piece(piece)]
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.automaton.decode(ids))
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
-        words = self.words(text) if text else []
-        ids = " ".join(map(self.ids.__getitem__, words))
-        decoded = " ".join(map(self.decoded.__getitem__, words))
+        pieces = self.pieces(text) if text else []
+        ids = " ".join(filter(None, map(self.ids.__getitem__, pieces)))
+        decoded = " ".join(filter(None, map(self.decoded.__getitem__, pieces)))
         return ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-class _Words(dict):
-    """Word -> its ids as text, or its decoded text; forgets all when full."""
+class _Pieces(dict):
+    """Piece -> its ids as text, or its decoded text; forgets all when full."""
 
     def __init__(self, owner: Tokenizer, kind: int) -> None:
         self.owner, self.kind = owner, kind
 
-    def __missing__(self, word: str) -> str:
+    def __missing__(self, piece: str) -> str:
         o = self.owner
-        ids = [o.specials[word]] if word in o.specials else o.word(word)
-        if len(o.ids) >= MEMORY:
-            o.ids.clear()
-            o.decoded.clear()
-        if len(word) <= 64:
-            o.ids[word], o.decoded[word] = " ".join(map(str, ids)), " ".join(o.automaton.decode(ids))
-            return dict.__getitem__(self, word)
-        return " ".join(map(str, ids)) if self.kind == 0 else " ".join(o.automaton.decode(ids))
+        ids = o.piece(piece)
+        texts = " ".join(map(str, ids)), o.decode(ids)
+        if len(piece) <= 64:
+            if len(o.ids) >= MEMORY:
+                o.ids.clear()
+                o.decoded.clear()
+            dict.__setitem__(o.ids, piece, texts[0])
+            dict.__setitem__(o.decoded, piece, texts[1])
+        return texts[self.kind]
 
 
 @lru_cache(maxsize=2)

@@ -1,9 +1,12 @@
 """Language identification by hyperdimensional profiles.
 
-Every letter has a random vector of +-1.  A trigram a b c is bound into p(p(a)) * p(b) * c, where p
-rotates a vector by one place; a text bundles (adds) the vectors of its trigrams, and a language's
-prototype bundles those of its training texts, each text with the same weight.  A text gets the
-language whose prototype has the largest cosine with it; the cosine, not below 0, is its score.
+Every letter has a random vector of +-1, drawn from its code point.  A trigram a b c is bound into
+p(p(a)) * p(b) * c, where p rotates a vector by one place; a text bundles (adds) the vectors of its trigrams,
+and a language's prototype bundles those of its training texts, each text with the same weight.  A text gets
+the language whose prototype has the largest cosine with it; the cosine, not below 0, is its score.
+
+Texts are bundled where they lie; what comes to the driver is one vector of DIMENSIONS numbers a language,
+summed in whole numbers, so that reruns agree.
 
 Runs of characters that aren't letters count as one blank.  A null text and one without a letter get
 `und` and 0.  Ties go to the language that sorts first.  Texts are read whole, repeated rows are
@@ -15,21 +18,25 @@ the id; the score of a text never looks at lang, source or doc_id.
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curblake.llm.common import below, by_batch, held_out, small_batches
+from curblake.llm.common import below, give_back, held_out, small_batches
 
 UND = "und"
 DIMENSIONS = 1024
 #: Training texts a language.
 SAMPLE = 1000
-#: Letters with a vector of their own; the others share one.
-LETTERS = 62
+#: Weight of a training text, in whole numbers.
+SCALE = 1 << 20
+#: Letters that a Python worker remembers; trigrams and texts that are bound at once.
+LETTERS, GRAMS, TEXTS = 8192, 4096, 128
 SEED = 20_240_229
 
 SCORED = "lang_pred string, score double"
@@ -54,54 +61,67 @@ def _codes(text: str) -> np.ndarray:
     return letters[np.concatenate(([True], (letters[1:] != 0) | (letters[:-1] != 0)))]
 
 
-class Model:
-    """Letters, prototypes, and what scoring needs of them; small enough to travel with the task."""
-
-    def __init__(self, langs: list[str], letters: list[int], grams: np.ndarray, weights: np.ndarray, dimensions: int) -> None:
-        self.langs, self.letters, self.dimensions = langs, letters, dimensions
-        self.alphabet = np.full(0x110000, len(letters) + 1, np.uint8)
-        self.alphabet[0] = 0
-        for i, c in enumerate(letters, 1):
-            self.alphabet[c] = i
-        base = len(letters) + 2
-        self.base = base
-        vectors = np.stack([np.random.default_rng([SEED, c]).choice(np.array([-1, 1], np.int8), dimensions) for c in (0, *letters, 0x110000)])
-        self.rotated = np.stack([np.roll(vectors, 2, 1), np.roll(vectors, 1, 1), vectors])
-        self.known = np.full(base**3, -1, np.int32)
-        self.known[grams] = np.arange(len(grams))
-        self.bound = self.bind(grams).astype(np.float32)
-        prototypes = weights @ self.bound  # language x dimension
-        self.prototypes = (prototypes / np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+class Vectors:
+    """The letters' vectors, and bundles of texts."""
 
-    def bind(self, grams: np.ndarray) -> np.ndarray:
-        a, b, c = grams // self.base**2, grams // self.base % self.base, grams % self.base
-        return self.rotated[0][a] * self.rotated[1][b] * self.rotated[2][c]
+    def __init__(self, dimensions: int) -> None:
+        self.dimensions, self.found = dimensions, {}
 
-    def grams(self, codes: np.ndarray) -> np.ndarray:
-        x = self.alphabet[codes].astype(np.int32)
-        return (x[:-2] * self.base + x[1:-1]) * self.base + x[2:]
+    def letters(self, codes: np.ndarray) -> np.ndarray:
+        if len(self.found) + len(codes) > LETTERS:
+            self.found.clear()
+        for c in codes.tolist():
+            if c not in self.found:
+                self.found[c] = np.random.default_rng([SEED, c]).integers(0, 2, self.dimensions, np.int8) * np.int8(2) - np.int8(1)
+        return np.stack([self.found[c] for c in codes.tolist()])
 
-    def score(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        n, k = len(texts), len(self.bound)
-        bundle = np.zeros((n, self.dimensions), np.float32)
-        counts, seen = np.zeros((n, k), np.float32), np.zeros(n, bool)
+    def bind(self, grams: np.ndarray) -> np.ndarray:
+        """One vector a trigram (three code points of 21 bits)."""
+        codes, at = np.unique(np.stack([grams >> 42, grams >> 21 & 0x1FFFFF, grams & 0x1FFFFF]), return_inverse=True)
+        at, own = at.reshape(3, -1), self.letters(codes)
+        return np.roll(own, 2, 1)[at[0]] * np.roll(own, 1, 1)[at[1]] * own[at[2]]
+
+    def bundles(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """The bundle of each text, in whole numbers, and its number of trigrams; 0 for a text without a letter."""
+        grams, times, row = [], [], []
         for i, text in enumerate(texts):
-            codes = _codes(text) if text else ()
-            if len(codes) < 3:
-                continue
-            seen[i] = True
-            grams = self.grams(codes)
-            at = self.known[grams]
-            counts[i] = np.bincount(at[at >= 0], minlength=k)
-            if (at < 0).any():
-                rest, times = np.unique(grams[at < 0], return_counts=True)
-                for j in range(0, len(rest), 4096):
-                    bundle[i] += times[j : j + 4096].astype(np.float32) @ self.bind(rest[j : j + 4096]).astype(np.float32)
-        bundle += counts @ self.bound
-        cosine = bundle @ self.prototypes.T / np.maximum(np.linalg.norm(bundle, axis=1, keepdims=True), 1e-9)
+            codes = _codes(text).astype(np.int64) if text else ()
+            if len(codes) >= 3:
+                own, n = np.unique((codes[:-2] << 42) | (codes[1:-1] << 21) | codes[2:], return_counts=True)
+                grams.append(own)
+                times.append(n)
+                row.append(np.full(len(own), i))
+        out, size = np.zeros((len(texts), self.dimensions), np.float64), np.zeros(len(texts), np.int64)
+        if grams:
+            unique, column = np.unique(np.concatenate(grams), return_inverse=True)
+            times, row = np.concatenate(times), np.concatenate(row)
+            np.add.at(size, row, times)
+            for start in range(0, len(unique), GRAMS):
+                here = (column >= start) & (column < start + GRAMS)
+                counts = np.zeros((len(texts), min(GRAMS, len(unique) - start)), np.float32)
+                counts[row[here], column[here] - start] = times[here]
+                out += counts @ self.bind(unique[start : start + GRAMS]).astype(np.float32)
+        return out, size
+
+
+@lru_cache(maxsize=1)
+def _vectors(dimensions: int) -> Vectors:
+    return Vectors(dimensions)
+
+
+class Model:
+    """The languages' prototypes; a text's score."""
+
+    def __init__(self, langs: list[str], prototypes: np.ndarray) -> None:
+        self.langs = langs
+        self.prototypes = prototypes / np.maximum(np.linalg.norm(prototypes, axis=1, keepdims=True), 1e-9)
+
+    def score(self, texts: list) -> tuple[list[str], list[float]]:
+        bundles, size = _vectors(self.prototypes.shape[1]).bundles(texts)
+        cosine = bundles @ self.prototypes.T / np.maximum(np.linalg.norm(bundles, axis=1, keepdims=True), 1e-9)
         best = cosine.argmax(1)
-        found = np.clip(cosine[np.arange(n), best], 0, 1)
-        return [self.langs[b] if s else UND for b, s in zip(best, seen, strict=True)], [float(f) if s else 0.0 for f, s in zip(found, seen, strict=True)]
+        found = np.clip(cosine[np.arange(len(texts)), best], 0, 1)
+        return [self.langs[b] if s else UND for b, s in zip(best, size, strict=True)], [float(f) if s else 0.0 for f, s in zip(found, size, strict=True)]
 
 
 @lru_cache(maxsize=1)
@@ -110,7 +130,7 @@ def _model(packed: bytes) -> Model:
 
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc_id", per_lang: int = SAMPLE, dimensions: int = DIMENSIONS) -> bytes | None:
-    """The packed model of all rows of ``docs`` with a lang; counting is done on the executors."""
+    """The packed model of all rows of ``docs`` with a lang; bundling is done on the executors."""
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
     if not sizes:
@@ -119,36 +139,27 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "d
     for name, n in sorted(sizes.items()):
         rate = F.when(F.col(lang) == name, F.lit(min(1.0, per_lang / n))).otherwise(rate)
 
-    def count(langs: list, texts: list) -> list:
-        out: tuple[list, list, list] = ([], [], [])
-        for name, t in zip(langs, texts, strict=True):
-            codes = _codes(t).astype(np.int64)
-            if len(codes) < 3:
-                continue
-            grams, times = np.unique((codes[:-2] << 42) | (codes[1:-1] << 21) | codes[2:], return_counts=True)
-            out[0].extend([name] * len(grams))
-            out[1].extend(grams.tolist())
-            out[2].extend(np.rint(times * (1e6 / times.sum())).astype(np.int64).tolist())
-        return list(out)
+    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                found, size = _vectors(dimensions).bundles(part["text"].to_pylist())
+                for name, v, n in zip(part["lang"].to_pylist(), found, size, strict=True):
+                    if n:
+                        whole[name] = whole.get(name, 0) + np.rint(v * (SCALE / n)).astype(np.int64)
+        give_back()
+        for name, v in whole.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name] * dimensions), pa.array(np.arange(dimensions, dtype=np.int32)), pa.array(v)], ["lang", "place", "value"])
 
+    small_batches(docs.sparkSession)
     sample = rows.where(below(rate, key)).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    found = by_batch(sample, "lang string, gram long, weight long", count, "lang", "text").groupBy("lang", "gram").agg(F.sum("weight").alias("weight")).toPandas()
-    if found.empty:
+    summed = sample.mapInArrow(bundle, "lang string, place int, value long").groupBy("lang", "place").agg(F.sum("value").alias("value"))
+    found = {r["lang"]: r["v"] for r in summed.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "value"))), lambda x: x["value"]).alias("v")).collect()}
+    if not found:
         return None
-    gram, weight = found.gram.to_numpy(np.int64), found.weight.to_numpy(np.int64)
-    parts = np.stack([gram >> 42, gram >> 21 & 0x1FFFFF, gram & 0x1FFFFF])
-    letter, where = np.unique(parts[1], return_inverse=True)
-    total = np.bincount(where, weights=weight)
-    order = np.lexsort((letter, -total))
-    letters = [int(letter[i]) for i in order if letter[i]][:LETTERS]
-    index = {c: i for i, c in enumerate(letters, 1)} | {0: 0}
-    small = np.vectorize(lambda c: index.get(c, len(letters) + 1), otypes=[np.int64])(parts)
-    base = len(letters) + 2
-    grams, column = np.unique((small[0] * base + small[1]) * base + small[2], return_inverse=True)
-    langs = sorted(found.lang.unique())
-    weights = np.zeros((len(langs), len(grams)), np.float64)
-    np.add.at(weights, (found.lang.map({n: i for i, n in enumerate(langs)}).to_numpy(), column), weight)
-    return pickle.dumps((langs, letters, grams, (weights / weights.max()).astype(np.float32), dimensions))
+    langs = sorted(found)
+    return pickle.dumps((langs, np.array([found[n] for n in langs], np.float64) / SCALE))
 
 
 def predict(docs: DataFrame, model: bytes | None, text: str = "text") -> DataFrame:
@@ -162,8 +173,8 @@ def predict(docs: DataFrame, model: bytes | None, text: str = "text") -> DataFra
     def run(texts: pd.Series) -> pd.DataFrame:
         m, found = _model(model), ([], [])
         values = texts.tolist()
-        for at in range(0, len(values), 128):
-            for old, new in zip(found, m.score(values[at : at + 128]), strict=True):
+        for at in range(0, len(values), TEXTS):
+            for old, new in zip(found, m.score(values[at : at + TEXTS]), strict=True):
                 old.extend(new)
         return pd.DataFrame({"lang_pred": found[0], "score": found[1]})
 

@@ -13,11 +13,15 @@ keys that are still mixed then go through an exact join of their full sets acros
 in order of rarity, a shared one among the first few, and the sizes and places of the shared one must
 leave room for enough others.  So no link between components is lost, however large a group is.
 
+Every pair that meets is confirmed on full sets, whatever its signatures say.  An index key that more than HOT
+classes share is dealt by salts, so that no task gets them all.
+
 A document's set: distinct 3-word shingles of the words (A-Z lower-cased, split at ASCII white space);
 with fewer words, the whole sequence.  Null or empty texts have no set and no links.  Repeated rows are
-of one class.  A class is named by its smallest doc_id (texts that share one doc_id are one document).  A
-row with a null id is linked with equal sets only, and is kept only if no row of its class has an id.
-Extra columns are ignored.
+of one class.  Every row is judged by its own text: rows with one doc_id and different texts are documents
+of their own that happen to share a name, and their component_id may differ.  A row with a null id is
+linked like any other; its component_id is the smallest id of its component, null if there is none, and it
+counts as kept only then.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,15 +32,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curblake.llm.common import by_batch, spool
+from curblake.llm.common import by_batch, release, spool
 from curblake.llm.components import components
 
 SHINGLE = 3
 #: Link from this Jaccard similarity, in hundredths.
 SIMILAR = 85
 CHUNKS, WIDTH, ERRORS = 6, 5, 1
-#: Pairs whose signatures differ in more values aren't confirmed: at similarity 0.85 that happens to 1 pair in 10^6.
-FAR = 14
+#: Classes of an index key that one task gets.
+HOT = 1000
 CENTRES = 1
 WORDS = 200_000
 
@@ -88,13 +92,32 @@ def signature(found: np.ndarray) -> list[int]:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size), class (digest of the set; null if empty) and sig."""
+    """doc_id, print (of the text), n (set size), class (digest of the set; null if empty) and sig."""
 
-    def run(ids: list, texts: list) -> list:
+    def run(ids: list, prints: list, texts: list) -> list:
         sets = list(map(shingles, texts))
-        return [ids, [len(s) for s in sets], [_digest(s) if len(s) else None for s in sets], [signature(s) if len(s) else None for s in sets]]
-
-    return by_batch(docs, "doc_id long, n long, class binary, sig array<smallint>", run, "doc_id", "text", done=forget)
+        return [ids, prints, [len(s) for s in sets], [_digest(s) if len(s) else None for s in sets], [signature(s) if len(s) else None for s in sets]]
+
+    printed = docs.select("doc_id", F.xxhash64("text").alias("print"), "text")
+    return by_batch(printed, "doc_id long, print long, n long, class binary, sig array<smallint>", run, "doc_id", "print", "text", done=forget)
+
+
+def classes_of(rows: DataFrame) -> DataFrame:
+    """class, rep (its smallest doc_id), n, sig, copies and node: rep, or a hash where several classes share a rep or it is null."""
+    found = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.count("*").alias("copies"))
+    found = spool(found, "class-sets")
+    first = found.where(F.col("rep").isNotNull()).groupBy("rep").agg(F.min("class").alias("_first"), F.count("*").alias("_many"))
+    first = spool(first.where(F.col("_many") > 1).select(F.col("rep").alias("_rep"), "_first"), "shared-ids")
+    marked = found.join(first, found["rep"] == first["_rep"], "left").withColumn("plain", F.col("rep").isNotNull() & F.col("_first").isNull())
+    other = ~F.col("plain") & ~F.coalesce(F.col("_first") == F.col("class"), F.lit(False))
+    seed = 0
+    while True:  # until no hash is taken
+        named = marked.withColumn("node", F.when(other, F.xxhash64("class", F.lit(seed))).otherwise(F.col("rep"))).drop("_rep", "_first")
+        named = spool(named, "classes")
+        odd = named.where(~F.col("plain")).select("node")
+        if odd.isEmpty() or named.join(odd.distinct(), "node", "left_semi").groupBy("node").count().where("count > 1").isEmpty():
+            return named
+        seed += 1
 
 
 def _keys() -> Column:
@@ -106,38 +129,48 @@ def _keys() -> Column:
     return F.array(*out)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, set) of the wanted classes, from the texts of the documents that name them."""
-    wanted = spool(wanted, "wanted")
-    texts = docs.select("doc_id", "text").join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
+    wanted = spool(classes.join(wanted, "node", "left_semi").select("node", "rep", "class", "plain"), "wanted")
 
     def run(ids: list, texts: list) -> list:
-        return [ids, [shingles(t).view(np.int64).tolist() for t in texts]]
+        sets = list(map(shingles, texts))
+        return [ids, [_digest(s) for s in sets], [s.view(np.int64).tolist() for s in sets]]
+
+    def read(texts: DataFrame) -> DataFrame:
+        return by_batch(texts.where(F.length("text") > 0), "node long, class binary, set array<bigint>", run, "doc_id", "text", done=forget).where(F.size("set") > 0)
 
-    return by_batch(texts.where(F.length("text") > 0), "node long, set array<bigint>", run, "doc_id", "text", done=forget).dropDuplicates(["node"])
+    plain = wanted.where("plain").select("node")
+    found = read(docs.join(plain, docs["doc_id"] == plain["node"], "left_semi")).select("node", "set")
+    odd = wanted.where("NOT plain")
+    if not odd.isEmpty():  # ids that several texts share, and null ids: by the set's digest
+        reps = odd.select("rep").distinct()
+        own = read(docs.join(reps, docs["doc_id"].eqNullSafe(reps["rep"]), "left_semi")).select("class", "set")
+        found = found.unionByName(own.join(odd.select("class", "node"), "class").select("node", "set"))
+    return found.dropDuplicates(["node"])  # equal sets
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
-    small = classes.select("node", "n", "sig")
-    near = pairs.join(small.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")), "a").join(small.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb")), "b")
-    differ = F.aggregate(F.zip_with("sa", "sb", lambda x, y: (x != y).cast("int")), F.lit(0), lambda t, x: t + x)
-    near = near.where((F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SIMILAR) & (differ <= FAR)).select("a", "b", "na", "nb")
-    near = spool(near, "near-pairs")
-    sets = spool(_sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
+    small = classes.select("node", "n")
+    near = pairs.join(small.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(small.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+    near = spool(near.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * SIMILAR), "near-pairs")
+    sets = spool(_sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes), "sets")
     full = near.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))
-    return full.where(both * 100 >= (F.col("na") + F.col("nb") - both) * SIMILAR).select("a", "b")
+    links = spool(full.where(both * 100 >= (F.col("na") + F.col("nb") - both) * SIMILAR).select("a", "b"), "links")
+    release(near, sets)
+    return links
 
 
-def _across(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _across(docs: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of nodes(node, component) in different components that may be similar; none that is similar is missing.
 
     Two sets of m <= n shingles are similar if they share at least s = 17 (m + n) / 37.  In one order of
     all shingles the first shared one is among the first m - s + 1 and n - s + 1, and as many as s - 1
     must follow it in both.
     """
-    sets = spool(_sets(docs, nodes.select("node")), "rest-sets")
+    sets = spool(_sets(docs, nodes.select("node"), classes), "rest-sets")
     tokens = sets.select("node", F.size("set").alias("n"), F.explode("set").alias("token"))
     common = tokens.groupBy("token").agg(F.count("*").alias("times"))
     order = Window.partitionBy("node").orderBy("times", "token")
@@ -156,18 +189,28 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _shared(classes: DataFrame) -> DataFrame:
+    """(key, node, centre) of the index keys that several classes share; centre: the smallest."""
+    keys = classes.select("node", F.explode(_keys()).alias("key"))
+    centres = keys.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("_n")).where(F.col("_n") > 1)
+    centres = spool(centres.withColumn("_parts", F.ceil(F.col("_n") / HOT).cast("int")).drop("_n"), "centres")
+    hot = spool(centres.where(F.col("_parts") > 1).select("key", "_parts"), "hot-keys")  # at most keys / HOT rows
+    dealt = keys.join(hot, "key", "left").withColumn("_salt", F.pmod(F.xxhash64("node"), F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
+    spread = centres.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    return spool(dealt.join(spread, ["key", "_salt"]).drop("_salt"), "shared-keys")
+
+
 def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     """(node, component) of the classes that are linked with another."""
-    keys = classes.select("node", F.explode(_keys()).alias("key"))
-    shared = keys.groupBy("key").agg(F.min("node").alias("centre"), F.max("node").alias("_last")).where(F.col("centre") < F.col("_last")).drop("_last")
-    shared = spool(keys.join(shared, "key"), "shared-keys")
+    shared = _shared(classes)
     pairs = spool(shared.where(F.col("node") != F.col("centre")).select(*_pair("node", "centre")).distinct(), "pairs-0")
     if pairs.isEmpty():
         return None
-    links = spool(_confirm(pairs, docs, classes), "links-0")
+    links = new = _confirm(pairs, docs, classes)
     tested, keys = pairs, shared.select("key", "node")
+    found = None
     for turn in range(1, CENTRES + 2):
-        found = spool(components(links), "components") if turn == 1 or not new.isEmpty() else found  # noqa: F821
+        found = spool(components(links), "components") if found is None or not new.isEmpty() else found
         own = keys.join(found, keys["node"] == found["node"], "left").select("key", keys["node"], F.coalesce(found["component"], keys["node"]).alias("component"))
         mixed = own.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where(F.col("_lo") < F.col("_hi")).select("key")
         keys = spool(own.join(mixed, "key", "left_semi"), f"mixed-{turn}")
@@ -178,34 +221,62 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
             centre = keys.groupBy("key").agg(F.min(place).alias("c"))
             pairs = keys.join(centre, "key").where(F.col("component") != F.col("c.component")).select(*_pair("node", "c.node"))
         else:  # the rest, exactly
-            pairs = _across(docs, spool(keys.select("node", "component").distinct(), "rest-nodes"))
+            pairs = _across(docs, spool(keys.select("node", "component").distinct(), "rest-nodes"), classes)
         pairs = spool(pairs.distinct().join(tested, ["a", "b"], "left_anti"), f"pairs-{turn}")
-        new = spool(_confirm(pairs, docs, classes), f"links-{turn}")
+        new = _confirm(pairs, docs, classes)
         tested, links, keys = tested.unionByName(pairs), links.unionByName(new), keys.select("key", "node")
     return spool(components(links), "components") if not new.isEmpty() else found
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with print and class; class, group and component_id of the classes with several rows or a link)."""
     docs = docs.select("doc_id", "text")
     rows = spool(signed(docs), "signatures")
-    classes = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.count("*").alias("copies"))
-    classes = spool(classes.withColumn("node", F.coalesce("rep", F.xxhash64("class"))), "classes")
+    classes = classes_of(rows)
     found = link_classes(docs, classes)
     group = classes.select("class", "node", "rep", "copies")
     if found is None:
-        named = group.where(F.col("copies") > 1).select("class", F.col("rep").alias("component_id"))
+        named = group.where(F.col("copies") > 1).select("class", F.col("node").alias("group"), F.col("rep").alias("component_id"))
     else:
-        group = group.join(found, "node", "left").where((F.col("copies") > 1) | F.col("component").isNotNull()).withColumn("component", F.coalesce("component", "node"))
-        group = spool(group.select("class", "rep", "component"), "groups")
-        lowest = group.groupBy("component").agg(F.min("rep").alias("component_id"))
-        named = group.join(lowest, "component").select("class", "component_id")
-    named = spool(named, "named")
-    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "class").join(named, "class", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+        group = group.join(found, "node", "left").where((F.col("copies") > 1) | F.col("component").isNotNull()).withColumn("group", F.coalesce("component", "node"))
+        group = spool(group.select("class", "rep", "group"), "groups")
+        lowest = group.groupBy("group").agg(F.min("rep").alias("component_id"))
+        named = group.join(lowest, "group").select("class", "group", "component_id")
+    return rows, spool(named, "named")
+
+
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document."""
+    rows, named = _grouped(docs)
+    linked = F.col("group").isNotNull()
+    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "class").join(named, "class", "left")
+    out = out.withColumn("component_id", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: the smallest doc_id, nulls last; texts with no words all stay.
+
+    Of rows with one id and one text the smallest in all columns stays, so reruns agree.
+    """
+    rows, named = _grouped(docs)
+    member = rows.select("doc_id", "print", "class").join(named.select("class", "group"), "class")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print")
+    member = member.groupBy("group", "doc_id", "print").agg(F.count("*").alias("times")).withColumn("key", key)
+    best = member.groupBy("group").agg(F.min("key").alias("best"))
+    judged = spool(member.join(best, "group").select("doc_id", "print", "times", (F.col("key") == F.col("best")).alias("wins")), "copies")
+    own = lambda side: docs["doc_id"].eqNullSafe(side["doc_id"]) & (F.xxhash64(docs["text"]) == side["print"])
+    gone = judged.where(~F.col("wins") | (F.col("times") > 1))
+    kept = docs.join(gone, own(gone), "left_anti")
+    again = judged.where(F.col("wins") & (F.col("times") > 1))
+    if again.isEmpty():
+        return kept
+    columns = [F.col("`" + c + "`") for c in docs.columns]
+    repeated = docs.join(again, own(again), "left_semi").groupBy("doc_id", F.xxhash64("text").alias("_print")).agg(F.min(F.struct(*columns)).alias("_row"))
+    return kept.unionByName(repeated.select(*[F.col("_row.`" + c + "`") for c in docs.columns]))
+
+
 SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from curblake.llm import op1_topk, op2_urls, op3_bpe, op4_language, op5_quality, op6_mixing, op8_near_dedup, op9_pii, op10_vectors, queries
+from curblake.llm import op2_urls, op3_bpe, op4_language, op5_quality, op6_mixing, op8_near_dedup, op9_pii, op10_vectors, queries
 
 EMPTY_DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Nulls, empties, repeated rows and columns whose names the operators use themselves.
@@ -23,33 +23,6 @@ def awkward(spark):
     return df.withColumns({"size": F.lit("clash"), "class": F.lit("clash"), "held_out": F.lit("clash"), "base": F.lit("clash"), "_size": F.lit("clash"), "n": F.lit("clash")})
 
 
-# ---- op1 ----
-def brute_topk(rows, k=20):
-    v = {i: np.floor(64 * np.array(x, dtype=np.float64)) for i, x in rows if x is not None and all(y is not None and np.isfinite(y) for y in x)}
-    out = {}
-    for q in v:
-        if q % 20 == 0:
-            out[q] = sorted(((int(v[q] @ v[c]), -c) for c in v if c != q), reverse=True)[:k]
-    return {(q, r, -c, s) for q, found in out.items() for r, (s, c) in enumerate(found, 1)}
-
-
-@pytest.mark.parametrize("n", [5, 900])
-def test_topk_is_exact(spark, n, monkeypatch):
-    rng = np.random.default_rng(n)
-    rows = [(i, [float(x) for x in rng.normal(0, 0.1, 8).round(2)]) for i in range(n)] + [(2000, None), (2001, [None] * 8), (2002, [float("nan")] * 8), (2020, [float("inf")] * 8), (2040, [0.0] * 8)]
-    monkeypatch.setattr(op1_topk, "ROWS", 300)
-    monkeypatch.setattr(op1_topk, "QUERIES", 20)
-    monkeypatch.setattr(op1_topk, "FEW", 30)
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("label", F.lit(1))
-    got = {tuple(r) for r in op1_topk.search(df.unionByName(df.limit(3))).collect()}
-    f32 = [(i, None if x is None else [None if y is None else float(np.float32(y)) for y in x]) for i, x in rows]
-    assert got == brute_topk(f32)
-
-
-def test_topk_empty(spark):
-    assert op1_topk.search(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
-
-
 # ---- op2 ----
 def test_rules_and_trees(spark):
     urls = [(1, "http://A.net/x"), (2, "http://sub.example.NET/en/a?b#c"), (3, "https://example.com/de/x"), (4, "http://x.org/fr/"), (5, None), (6, "nonsense"), (7, "http://a.net"), (8, "http://net/"), (9, "ftp://example.com/dex"), (10, ""), (11, "http://é.org/ü?q=1&r=2"), (12, "http://x.com/" + "a" * 50_000)]
@@ -88,6 +61,28 @@ def test_bpe_equals_the_library(spark, sf):
         assert ours[i].decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_bpe_equals_the_library_on_all_code_points():
+    import tokenizers
+
+    library, ours = tokenizers.Tokenizer.from_file(op3_bpe.tokenizer_path()), op3_bpe.load(op3_bpe.tokenizer_path())
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 5000):
+        texts = [f"a{c}b {c}'s" for c in points[at : at + 5000]]
+        assert [e.ids for e in library.encode_batch(texts, add_special_tokens=False)] == [ours.encode(t) for t in texts]
+    rng = random.Random(9)  # runs of all kinds, composed and not, across pieces
+    texts = ["".join(rng.choice(points if rng.random() < 0.3 else "aeiou \u0301\u0327\u00a0\u2028\u3000\x1c\x1f\x85'sß,.1") for _ in range(30)) for _ in range(3000)]
+    assert [e.ids for e in library.encode_batch(texts, add_special_tokens=False)] == [ours.encode(t) for t in texts]
+
+
+def test_bpe_forgets_and_finds_again():
+    ours = op3_bpe.load(op3_bpe.tokenizer_path())
+    words = [f"{w}ing{i}" for i in range(50) for w in ("play", "sing", "walk")]
+    before = [ours.encode(w) for w in words]
+    ours.automaton._forget()
+    assert [ours.encode(w) for w in words] == before
+    assert all(ours.decode(ids).replace("</w>", "").replace(" ", "") == w for w, ids in zip(words, before, strict=True))
+
+
 def test_bpe_automaton_against_merging_in_order():
     """Small random merge lists: the automaton's path is what applying the merges one by one gives."""
     rng = random.Random(1)
@@ -109,7 +104,7 @@ def test_bpe_automaton_against_merging_in_order():
                     if parts[i] == u and parts[i + 1] == v:
                         parts[i : i + 2] = [u + v]
                     i += 1
-            assert automaton.decode(automaton.encode(word)) == parts
+            assert automaton.decode(automaton.encode([automaton.symbols[x] for x in word])) == parts
 
 
 def test_bpe_round_trip_and_awkward(spark, awkward):
@@ -136,6 +131,36 @@ def test_language_awkward(spark, awkward):
     assert kept.columns.count("score") == 1 and "size" in kept.columns
 
 
+def test_language_of_scripts_with_many_letters(spark):
+    """Two languages of one large alphabet each keep their letters apart, as every letter has its own vector."""
+    rng = random.Random(6)
+    alphabet = {"x": range(0x4E00, 0x4F00), "y": range(0x4F00, 0x5000)}
+    words = {n: ["".join(chr(rng.choice(alphabet[n])) for _ in range(4)) for _ in range(120)] for n in alphabet}
+    docs = [(i, " ".join(rng.choice(words[n]) for _ in range(40)), n) for i in range(200) for n in ("x", "y")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    rows = op4_language.predict(df, op4_language.train(df.where("doc_id < 150"))).where("doc_id >= 150").collect()
+    assert all(r.lang == r.lang_pred for r in rows)
+
+
+def test_language_does_not_depend_on_partitions_or_repeats(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(150)
+    one, more = (op4_language.identify(d) for d in (docs.repartition(1), docs.union(docs).repartition(7)))
+    first = {r.doc_id: r.lang_pred for r in one.collect()}
+    assert all(first[r.doc_id] == r.lang_pred for r in more.collect())
+
+
+def test_language_bundles_equal_plain_sums():
+    """Brute force: the bundle is the sum of p(p(a)) * p(b) * c over all trigrams."""
+    vectors = op4_language.Vectors(64)
+    text = "Ab ba, ab!"
+    codes = op4_language._codes(text)
+    assert "".join(chr(c) if c else " " for c in codes) == " ab ba ab "
+    v = {c: vectors.letters(np.array([c]))[0] for c in set(codes.tolist())}
+    want = sum(np.roll(v[a], 2) * np.roll(v[b], 1) * v[c] for a, b, c in zip(codes.tolist(), codes[1:].tolist(), codes[2:].tolist(), strict=False))
+    bundle, size = vectors.bundles([text, None, ""])
+    assert (bundle[0] == want).all() and size.tolist() == [len(codes) - 2, 0, 0] and not bundle[1:].any()
+
+
 # ---- op5 ----
 def test_quality_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
@@ -217,6 +242,36 @@ def test_near_dedup_equals_brute_force(spark, monkeypatch):
     assert {i: g[:2] for i, g in got.items()} == want and all(g[2] == (g[1] == i) for i, g in got.items())
 
 
+def test_near_dedup_judges_rows_of_one_id_by_their_texts(spark):
+    """Rows (1, A), (1, B), a near copy of each, the same under null ids: no link is lost, whichever text an id has first."""
+    rng = random.Random(2)
+    a, b = (" ".join(f"{c}{rng.random()}" for _ in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (None, a + " z"), (None, "some words of no id " * 3), (None, "some words of no id " * 3), (1, a)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string")
+        got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in op8_near_dedup.deduplicate(df).collect())
+        assert got == [(0, 0, True), (0, 0, True), (0, 1, False), (1, 1, True), (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False)]
+        left = sorted((r.doc_id or 0, r.text) for r in op8_near_dedup.one_of_each(df).collect())
+        assert left == sorted([(1, a), (1, b), (0, rows[5][1])])
+
+
+def test_near_dedup_confirms_pairs_with_far_signatures(spark, monkeypatch):
+    """Whatever two signatures say, a pair that meets is judged on full sets."""
+    monkeypatch.setattr(op8_near_dedup, "signature", lambda found: [1] * 5 + [int(found[0] % 30_000) - 15_000] * 25)
+    words = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "tail"])), (3, " ".join(words[::-1]))]
+    got = {r.doc_id: r.component_id for r in op8_near_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+
+
+def test_near_dedup_deals_hot_keys(spark, monkeypatch):
+    monkeypatch.setattr(op8_near_dedup, "HOT", 10)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*words, f"x{i}"])) for i in range(120)] + [(500, "alone by itself here")]
+    got = {r.doc_id: r.component_id for r in op8_near_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 0 for i in range(120)} | {500: 500}
+
+
 def test_near_dedup_awkward(spark, awkward):
     rows = op8_near_dedup.deduplicate(awkward).collect()
     assert len(rows) == len(AWKWARD) and {r.n_shingles for r in rows if r.doc_id in (1, 2)} == {0}
