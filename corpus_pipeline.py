@@ -1,6 +1,6 @@
 """A corpus pipeline: five stages over ``documents``, each a training-data operator whose decisions take effect.
 
-Each stage is a function (spark, docs, sf_dir) -> DataFrame; `run` writes each result as Parquet to the
+Columns that ``docs`` has besides those of documents are dropped at once, whatever they are named.  Each stage is a function (spark, docs, sf_dir) -> DataFrame; `run` writes each result as Parquet to the
 shared folder and rereads it as the next stage's docs.  All stages but the last return the columns of
 ``documents``.
 """
@@ -19,34 +19,44 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents in which a learned language is found; those without a letter go."""
+    """Writes the language found into lang; documents in which none is found (no letter, or a null text) go.
+
+    lang may be null before; rows with a null lang are no training rows.  An empty table stays empty, and with no
+    lang at all nothing is learned, so no document stays.  Repeated rows and null ids are judged by their texts.
+    """
     docs = docs.select(*COLUMNS)
     found = op4_language.predict(docs, op4_language.train(op4_language.training_rows(docs)))
-    return found.where(F.col("lang_pred") != op4_language.UND).select(*COLUMNS)
+    return found.where(F.col("lang_pred") != op4_language.UND).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies: the one with the smallest doc_id."""
-    docs = docs.select(*COLUMNS)
-    judged = op8_near_dedup.deduplicate(docs)
-    gone = spool(judged.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "copies")
-    named = docs.join(gone, "doc_id", "left_anti")
-    # repeated rows of one doc_id are copies too
-    return named.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(named.where(F.col("doc_id").isNull())).select(*COLUMNS)
+    """Keeps one row of each group of near copies: the one with the smallest doc_id, null ids last.
+
+    Rows with one id and different texts are judged each by its text; repeated rows are copies, of which the
+    smallest in all columns stays.  Texts without a word (null, empty) have no copies and all stay.
+    """
+    return op8_near_dedup.one_of_each(docs.select(*COLUMNS))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Writes the kind in brackets in place of each span of personal data."""
+    """Writes the kind in brackets in place of each span of personal data, and counts the characters anew.
+
+    Null and empty texts stay as they are; repeated rows, and rows of one id, are each changed by their text.
+    """
     return op9_pii.redact(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes each source's documents to its target, some more than once, in training order."""
+    """Takes each source's documents to its target, some more than once, in training order.
+
+    A null source is a source of its own.  Null and empty texts have no words and take part while their source's
+    target isn't reached.  Repeated rows and null ids are documents like any other; ties of position go by doc_id.
+    """
     return op6_mixing.ordered(op6_mixing.mix(docs.select(*COLUMNS))).select(*COLUMNS)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the decoded text, by document."""
+    """Token counts and digests of the ids and of the decoded text, by row; a null text counts as empty."""
     return op3_bpe.digests(docs.select(*COLUMNS))
 
 
