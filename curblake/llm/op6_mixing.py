@@ -4,12 +4,12 @@ Each source has a weight and a cap (CAP times its words).  The targets share all
 exceeds a cap is shared again among the others, which is a water level: target = min(cap, level x
 weight).  During training the weight of a source changes linearly; its schedule, integrated, is its
 cumulative demand D(t), with D(0) = 0 and D(1) = target.  A source's documents stand in a fixed random
-order (by MD5 of the id), repeated epoch after epoch; the middle of a copy lies c words into that
-sequence, and its training position is the t with D(t) = c.  Copies with no such t aren't taken.  The
-mix is range-sorted by position.  Taken words differ from the target by half a document at most.
+order (by MD5 of id and text), repeated epoch after epoch; the middle of a copy lies c words into that
+sequence, and its training position is the t with D(t) = c.  Copies whose t isn't within training, from 0
+to 1, aren't taken.  The mix is range-sorted by position.  Taken words differ from the target by half a document at most.
 
-Null texts have size 0, a null source is a source of its own and comes last, a null id counts as an
-empty one.  Documents of size 0 take part and take nothing.  Repeated rows are documents of their own.
+Null texts have size 0, a null source is a source of its own and comes last, a null id and a null text
+count as empty ones in the order.  Documents of size 0 take part and take nothing.  Repeated rows are documents of their own.
 An empty table gives an empty result.  A hot source is split into buckets of the order, whose offsets
 come from bucket totals, so no task needs a whole source.
 """
@@ -33,9 +33,10 @@ def n_words(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(f"[^{WHITE}]+")), F.lit(0)).cast("long")
 
 
-def _place(key: str) -> Column:
-    """60 bits of the id's MD5: the place in the fixed random order."""
-    return F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+def _place(key: str, text: str) -> Column:
+    """60 bits of the MD5 of id and text: the place in the fixed random order."""
+    named = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text), F.lit("")))
+    return F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long")
 
 
 def targets(per_source: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     """All columns of ``docs`` with size, source_size, target and positions (one a copy taken, ascending)."""
     n = buckets or max(1, -(-docs.count() // BUCKET))
     own = F.struct(*[F.col("`" + c + "`") for c in docs.columns]).alias("_row")
-    rows = docs.select(own, F.col(source).alias("_source"), n_words(text).alias("_size"), _place(key).alias("_place"), F.col(key).alias("_key"))
+    rows = docs.select(own, F.col(source).alias("_source"), n_words(text).alias("_size"), _place(key, text).alias("_place"), F.col(key).alias("_key"))
     rows = rows.withColumn("_bucket", F.shiftright(F.shiftright("_place", 30) * F.lit(n), 30).cast("int"))
     totals = rows.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_words"))
     totals = spool(totals.withColumnRenamed("_source", "source"), "mix-buckets")
@@ -78,10 +79,11 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     slope = F.element_at(F.array(*map(F.lit, SLOPES)), F.col("kind") + 1)
 
     def position(epoch: Column) -> Column:
-        """Inverse of D(t) = target (t + slope (t^2 - t)) at the copy's middle."""
+        """Inverse of D(t) = target (t + slope (t^2 - t)) at the copy's middle; more than 1 where D(1) is less."""
         share = (middle + epoch * F.col("source_size")) / F.col("target")
-        curved = (F.sqrt((1 - slope) * (1 - slope) + 4 * slope * share) - (1 - slope)) / F.when(slope != 0, 2 * slope)
-        return F.when((F.col("target") > 0) & (middle + epoch * F.col("source_size") <= F.col("target")), F.coalesce(curved, share))
+        inner = (1 - slope) * (1 - slope) + 4 * slope * share
+        t = F.when(slope == 0, share).otherwise((F.sqrt(F.greatest(inner, F.lit(0.0))) - (1 - slope)) / (2 * slope))
+        return F.when((F.col("target") > 0) & (t <= 1), t)
 
     positions = F.array_compact(F.array(*[position(F.lit(e)) for e in range(CAP)]))
     added = ("size", "source_size", "target", "positions")
@@ -95,27 +97,35 @@ def ordered(mixed: DataFrame) -> DataFrame:
 
 
 def summary(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target and taken of every document."""
+    """doc_id, size, source_size, target, taken and the first and last training position, range-sorted by the first.
+
+    Documents that aren't taken have no positions and come first.
+    """
     mixed = mix(docs.select("doc_id", "source", "text"))
-    return mixed.select("doc_id", "size", "source_size", "target", (F.size("positions") * F.col("size")).alias("taken"))
+    at = lambda i: F.round(F.try_element_at("positions", F.lit(i)), 9)
+    rows = mixed.select("doc_id", "size", "source_size", "target", (F.size("positions") * F.col("size")).alias("taken"), at(1).alias("first_position"), at(-1).alias("last_position"))
+    return rows.repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
 
 
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source,
          CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS place
+         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS place
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
-k AS (SELECT *, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3] AS BIGINT) AS weight FROM s),
+n AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS kind FROM s),
+k AS (SELECT *, CAST([5, 2, 1][1 + kind] AS BIGINT) AS weight, CAST([-0.5, 0.0, 0.5][1 + kind] AS DOUBLE) AS slope FROM n),
 l AS (SELECT *,
         CAST(sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER w, 0) AS DOUBLE) / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS DOUBLE) AS level
       FROM k WINDOW w AS (ORDER BY source_size * (10 // weight), source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS (SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), weight * max(level) FILTER (WHERE level * weight <= CAST(3 * source_size AS DOUBLE)) OVER ()) AS target FROM l),
-p AS (SELECT d.doc_id, d.size, t.source_size, t.target,
-        CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) + size / 2 AS middle
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(size * CASE WHEN target > 0 THEN (middle <= target)::INT + (middle + source_size <= target)::INT + (middle + 2 * source_size <= target)::INT ELSE 0 END AS BIGINT) AS taken
-FROM p
+t AS (SELECT source, source_size, slope, least(CAST(3 * source_size AS DOUBLE), weight * max(level) FILTER (WHERE level * weight <= CAST(3 * source_size AS DOUBLE)) OVER ()) AS target FROM l),
+p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.slope,
+        CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) + CAST(size AS DOUBLE) / 2 AS middle
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, list_transform([0, 1, 2], lambda e: CASE WHEN target > 0 THEN (middle + e * source_size) / target END) AS shares FROM p),
+i AS (SELECT *, list_filter(list_transform(shares, lambda x: CASE WHEN slope = 0 THEN x
+        ELSE (sqrt(greatest((1 - slope) * (1 - slope) + 4 * slope * x, 0)) - (1 - slope)) / (2 * slope) END), lambda x: x <= 1) AS positions FROM c)
+SELECT doc_id, size, source_size, target, CAST(size * len(positions) AS BIGINT) AS taken, round(positions[1], 9) AS first_position, round(positions[len(positions)], 9) AS last_position
+FROM i
 """

@@ -201,6 +201,27 @@ def test_mix_targets_caps_and_order(spark, awkward):
     order = [r.position for r in op6_mixing.ordered(op6_mixing.mix(df)).collect()]
     assert order == sorted(order) and 0 <= order[0] and order[-1] <= 1
     assert op6_mixing.mix(awkward).count() == len(AWKWARD)
+    firsts = [r.first_position for r in op6_mixing.summary(df.withColumn("positions", F.lit("clash")).repartition(5)).collect()]
+    assert [p for p in firsts if p is not None] == sorted(p for p in firsts if p is not None) and None not in firsts[firsts.count(None) :]
+
+
+def test_mix_follows_the_schedules(spark):
+    """Brute force: a source's words before t are the integral of its schedule, target (t + slope (t^2 - t))."""
+    docs = [(i, "w " * (1 + i % 7), "abc"[i % 3]) for i in range(3000)] + [(None, f"no id {i}", "a") for i in range(500)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    rows = op6_mixing.mix(df).collect()
+    for source, slope in zip("abc", op6_mixing.SLOPES, strict=True):
+        own = [r for r in rows if r.source == source]
+        for t in (0.1, 0.3, 0.5, 0.9):
+            before = sum(r.size for r in own for p in r.positions if p <= t)
+            assert abs(before - own[0].target * (t + slope * (t * t - t))) <= 14
+    none = op6_mixing._place("doc_id", "text")
+    assert df.where("doc_id IS NULL").select(none.alias("p")).distinct().count() == 500
+
+
+
+
+def test_mix_of_an_empty_table(spark):
     assert op6_mixing.summary(spark.createDataFrame([], EMPTY_DOCS)).count() == 0
 
 
