@@ -2,14 +2,16 @@
 
 Equal vectors of a label are one node.  Each node has a list of its NEIGHBOURS most similar nodes.  The
 lists start from leaves of random hyperplane trees and are refined by joins with the neighbours of
-neighbours: the neighbours of a node, and those that have it as neighbour, are compared with each other.
-This is repeated until few edges are new.  Then recall is audited: a bounded sample of nodes, one a
+neighbours: the neighbours of a node, and those that have it as neighbour, are compared with each other,
+unless all of these edges are old, so that their ends were compared before.  This is repeated until few edges
+are new.  Then recall is audited: a bounded sample of nodes, one a
 component, is compared with all nodes of its label; below RECALL, more leaves are drawn and refined, and
 after MORE such rounds all nodes of each label are compared exactly.  Edges of a cosine of at least CLOSE are kept.  Where a list is
 saturated (full, the worst entry at least CLOSE) it may lack links to other components: all components
 of a label that have such a node are compared with each other, exactly, by balls around blocks of their
 nodes and node by node where two balls come near enough.  Last, each list is enlarged to the node's
-whole component, compared in blocks, which counts links without listing them.
+whole component, which counts links without listing them: by arithmetic for two blocks whose balls are so near
+that all their nodes are linked, not at all for two that are too far, and else node by node.
 
 A large leaf or neighbourhood is split at random into parts that are compared within themselves, with
 another split each round; nothing is left out for good.  Vectors that are null, zero, have a null or
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from curblake.llm.common import small_batches, spool
+from curblake.llm.common import release, small_batches, spool
 from curblake.llm.components import components
 from curblake.llm.vectors import finite, matrix
 
@@ -45,14 +47,20 @@ EDGE = "node long, other long, sim double"
 
 
 def nodes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with their node, nodes with label and unit vector).  Node: a hash of label and vector."""
+    """(rows with their node, nodes with label and unit vector), spooled.  Node: a hash of label and vector that no other has."""
     fits = F.col("label").isNotNull() & finite("embedding") & F.coalesce(F.exists("embedding", lambda x: x != 0), F.lit(False))
-    node = F.when(fits, F.xxhash64("label", "embedding"))
-    rows = vectors.select("vec_id", "label", "embedding", node.alias("node"))
-    nodes = rows.where(F.col("node").isNotNull()).groupBy("node", "label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    unit = nodes.withColumn("_norm", norm).withColumn("unit", F.transform("embedding", lambda x: x.cast("double") / F.col("_norm")))
-    return rows.select("vec_id", "node"), unit.select("node", F.struct("label", F.size("embedding").alias("size")).alias("label"), "unit", "rep", "copies")
+    seed = 0
+    while True:
+        node = F.when(fits, F.xxhash64("label", "embedding", F.lit(seed)))
+        rows = vectors.select("vec_id", "label", "embedding", node.alias("node"))
+        nodes = rows.where(F.col("node").isNotNull()).groupBy("node", "label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+        norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+        unit = nodes.withColumn("_norm", norm).withColumn("unit", F.transform("embedding", lambda x: x.cast("double") / F.col("_norm")))
+        unit = spool(unit.select("node", F.struct("label", F.size("embedding").alias("size")).alias("label"), "unit", "rep", "copies"), "nodes")
+        if unit.groupBy("node").count().where("count > 1").isEmpty():
+            return spool(rows.select("vec_id", "node"), "vector-rows"), unit
+        release(unit)
+        seed += 1
 
 
 def _codes(nodes: DataFrame, seed: int) -> DataFrame:
@@ -112,7 +120,7 @@ def _gathered(keyed: DataFrame, *key: str) -> DataFrame:
 
 def _top(edges: DataFrame) -> DataFrame:
     order = Window.partitionBy("node").orderBy(F.col("sim").desc(), "other")
-    return edges.groupBy("node", "other").agg(F.max("sim").alias("sim")).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= NEIGHBOURS).drop("_r")
+    return edges.groupBy("node", "other").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh")).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= NEIGHBOURS).drop("_r")
 
 
 def _salt(parts: Column, *by) -> Column:  # noqa: ANN002
@@ -129,17 +137,18 @@ def leaves(nodes: DataFrame, seed: int) -> DataFrame:
     full = leaf.groupBy("label", "tree", "leaf").agg(F.ceil(F.count("*") / (2 * LEAF)).alias("parts")).where(F.col("parts") > 1)
     dealt = leaf.join(spool(full, "full-leaves"), ["label", "tree", "leaf"], "left").withColumn("part", _salt(F.coalesce("parts", F.lit(1)), "node", F.lit(seed), "tree"))
     vectors = dealt.join(nodes.select("node", "unit"), "node").withColumn("worst", F.lit(-2.0))
-    return _compare(_gathered(vectors, "label", "tree", "leaf", "part"))
+    return _compare(_gathered(vectors, "label", "tree", "leaf", "part")).withColumn("fresh", F.lit(True))
 
 
 def refine(graph: DataFrame, nodes: DataFrame, seed: int) -> DataFrame:
     """One join with the neighbours of neighbours; the new lists."""
     listed = graph.groupBy("node").agg(F.when(F.count("*") >= NEIGHBOURS, F.min("sim")).otherwise(-2.0).alias("worst"))
-    around = graph.select(F.col("node").alias("centre"), F.col("other").alias("node")).unionByName(graph.select(F.col("other").alias("centre"), "node")).unionByName(graph.select(F.col("node").alias("centre"), "node")).distinct()
-    large = spool(around.groupBy("centre").agg(F.ceil(F.count("*") / HOOD).alias("parts")).where(F.col("parts") > 1), "large-hoods")
-    dealt = around.join(large, "centre", "left").withColumn("part", _salt(F.coalesce("parts", F.lit(1)), "node", F.lit(seed)))
+    around = graph.select(F.col("node").alias("centre"), F.col("other").alias("node"), "fresh").unionByName(graph.select(F.col("other").alias("centre"), "node", "fresh")).unionByName(graph.select(F.col("node").alias("centre"), "node", F.lit(False).alias("fresh")))
+    around = around.groupBy("centre", "node").agg(F.max("fresh").alias("fresh"))
+    hoods = spool(around.groupBy("centre").agg(F.ceil(F.count("*") / HOOD).alias("parts"), F.max("fresh").alias("new")).where("new").drop("new"), "hoods")
+    dealt = around.join(hoods, "centre").withColumn("part", _salt(F.col("parts"), "node", F.lit(seed)))
     members = dealt.join(nodes.select("node", "unit"), "node").join(listed, "node", "left").withColumn("worst", F.coalesce("worst", F.lit(-2.0)))
-    return _top(graph.unionByName(_compare(_gathered(members, "centre", "part"))))
+    return _top(graph.withColumn("fresh", F.lit(False)).unionByName(_compare(_gathered(members, "centre", "part")).withColumn("fresh", F.lit(True))))
 
 
 def links_of(graph: DataFrame) -> DataFrame:
@@ -289,14 +298,52 @@ def merged(found: DataFrame, pairs: DataFrame) -> DataFrame:
     return found.join(joined, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
 
 
+def _block_pairs(balls: DataFrame) -> DataFrame:
+    """Pairs of blocks of one component (a <= b) that may hold links, and whether all their nodes must be linked."""
+    parts = spool(balls.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "block-parts")
+    dealt = balls.join(parts, "component").withColumn("part", F.pmod(F.col("block"), F.col("parts")).cast("int"))
+    paired = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"lo": F.least("part", "with"), "hi": F.greatest("part", "with")})
+    groups = paired.groupBy("component", "lo", "hi").agg(F.collect_list(F.struct("block", "part", "centre", "radius")).alias("members"))
+    reach = float(np.arccos(CLOSE))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat = batch["members"].flatten()
+            if not len(flat):
+                continue
+            block, part, centre, radius, at = flat.field("block").to_numpy(), flat.field("part").to_numpy(), matrix(flat.field("centre")), flat.field("radius").to_numpy(), 0
+            for n, component, lo, hi in zip(batch["members"].value_lengths().to_pylist(), batch["component"].to_pylist(), batch["lo"].to_pylist(), batch["hi"].to_pylist(), strict=True):
+                s = slice(at, at + n)
+                at += n
+                angle = np.arccos(np.clip(centre[s] @ centre[s].T, -1, 1))
+                both = radius[s][:, None] + radius[s][None, :]
+                near = (angle - both <= reach + 1e-6) & (block[s][:, None] <= block[s][None, :])
+                if lo != hi:
+                    near &= part[s][:, None] != part[s][None, :]
+                i, j = np.nonzero(near)
+                whole = (angle + both <= reach - 1e-6)[i, j]
+                yield pa.RecordBatch.from_arrays([pa.array([component] * len(i), pa.int64()), pa.array(block[s][i]), pa.array(block[s][j]), pa.array(whole)], ["component", "a", "b", "whole"])
+
+    small_batches(balls.sparkSession, 64)
+    return groups.select("members", "component", "lo", "hi").mapInArrow(run, "component long, a int, b int, whole boolean")
+
+
 def enlarge(found: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, linked): the number of vectors of other nodes with a cosine of at least CLOSE, by comparing components in blocks."""
+    """(node, linked): the number of vectors of other nodes with a cosine of at least CLOSE."""
     sizes = spool(found.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "component-blocks")
     dealt = found.join(sizes, "component").withColumn("block", _salt(F.col("blocks"), "node").cast("int"))
-    paired = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    paired = paired.select("component", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block", "node")
-    members = paired.join(nodes.select("node", "unit", "copies"), "node")
-    groups = members.groupBy("component", "lo", "hi").agg(F.collect_list(F.struct("node", "block", "copies", "unit")).alias("members"))
+    members = spool(dealt.join(nodes.select("node", "label", "unit", "copies"), "node").select("label", "component", "block", "node", "unit", "copies"), "component-members")
+    pairs = spool(_block_pairs(_balls(members)), "block-pairs")
+    both = lambda p: p.select("component", F.col("a").alias("block"), F.col("b").alias("with")).unionByName(p.where("a <> b").select("component", F.col("b").alias("block"), F.col("a").alias("with")))
+    # all linked: the copies of the other blocks, less the node's own
+    held = members.groupBy("component", "block").agg(F.sum("copies").alias("held"))
+    whole = both(pairs.where("whole")).join(held.withColumnRenamed("block", "with"), ["component", "with"])
+    whole = spool(whole.groupBy("component", "block").agg(F.sum("held").alias("held"), F.max((F.col("block") == F.col("with")).cast("int")).alias("own")), "whole-blocks")
+    counted = members.join(whole, ["component", "block"]).select("node", (F.col("held") - F.col("own") * F.col("copies")).alias("linked"))
+    # the rest, node by node
+    mixed = spool(pairs.where("NOT whole").select("component", "a", "b"), "mixed-blocks")
+    side = mixed.select("component", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    groups = side.join(members.drop("label"), ["component", "block"]).groupBy("component", "a", "b").agg(F.collect_list(F.struct("node", "block", "copies", "unit")).alias("members"))
     small_batches(found.sparkSession, 64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,17 +353,18 @@ def enlarge(found: DataFrame, nodes: DataFrame) -> DataFrame:
                 continue
             ids, block, copies, units = (flat.field("node").to_numpy(), flat.field("block").to_numpy(), flat.field("copies").to_numpy(), matrix(flat.field("unit")))
             at, out = 0, []
-            for n, lo, hi in zip(batch["members"].value_lengths().to_pylist(), batch["lo"].to_pylist(), batch["hi"].to_pylist(), strict=True):
+            for n, a, b in zip(batch["members"].value_lengths().to_pylist(), batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True):
                 s = slice(at, at + n)
                 at += n
                 close = units[s] @ units[s].T >= CLOSE
                 close &= ids[s][:, None] != ids[s][None, :]
-                if lo != hi:
+                if a != b:
                     close &= block[s][:, None] != block[s][None, :]
                 out.append((ids[s], close @ copies[s]))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[0] for o in out])), pa.array(np.concatenate([o[1] for o in out]).astype(np.int64))], ["node", "linked"])
 
-    return groups.select("members", "lo", "hi").mapInArrow(run, "node long, linked long").groupBy("node").agg(F.sum("linked").alias("linked"))
+    compared = groups.select("members", "a", "b").mapInArrow(run, "node long, linked long")
+    return counted.unionByName(compared).groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
 def converged(graph: DataFrame, nodes: DataFrame, seed: int) -> DataFrame:
@@ -324,9 +372,10 @@ def converged(graph: DataFrame, nodes: DataFrame, seed: int) -> DataFrame:
     turn = 0
     while True:
         after = spool(refine(graph, nodes, seed + turn), "graph")
-        new = after.join(graph.select("node", "other"), ["node", "other"], "left_anti").count()
+        release(graph)
         graph, turn = after, turn + 1
-        if new <= STILL * graph.count():
+        new, n = graph.agg(F.count_if("fresh"), F.count("*")).first()
+        if new <= STILL * n:
             return graph
 
 
@@ -335,7 +384,7 @@ def neighbour_graph(spark: SparkSession, nodes: DataFrame) -> tuple[DataFrame, f
     graph = None
     for more in range(1 + MORE):
         found = leaves(nodes, more)
-        graph = spool(_top(found if graph is None else graph.unionByName(found)), "graph")
+        graph = spool(_top(found if graph is None else graph.withColumn("fresh", F.lit(False)).unionByName(found)), "graph")
         graph = converged(graph, nodes, 1000 * more)
         linked = spool(components(links_of(graph)), "linked")
         linked = spool(merged(linked, across(saturated(graph, linked), nodes)), "linked")
@@ -355,7 +404,6 @@ def exact(found: DataFrame, nodes: DataFrame) -> DataFrame:
 def deduplicate(vectors: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id and kept of every vector."""
     rows, nodes = nodes_of(vectors)
-    rows, nodes = spool(rows, "vector-rows"), spool(nodes, "nodes")
     found, _ = neighbour_graph(vectors.sparkSession, nodes)
     found = spool(found, "vector-components")
     linked = spool(enlarge(found, nodes), "links")

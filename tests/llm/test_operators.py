@@ -399,7 +399,57 @@ def test_vector_dedup_audit_counts_groups_not_links(spark):
 
 def test_vector_dedup_is_exact_where_the_audit_fails(spark, monkeypatch):
     monkeypatch.setattr(op10_vectors, "MORE", 0)
-    monkeypatch.setattr(op10_vectors, "leaves", lambda nodes, seed: spark.createDataFrame([], op10_vectors.EDGE))
+    monkeypatch.setattr(op10_vectors, "leaves", lambda nodes, seed: spark.createDataFrame([], op10_vectors.EDGE).withColumn("fresh", F.lit(True)))
     rows = [(i, 1, v) for i, v in enumerate(groups_of_near_copies((3, 4)))]
     got = op10_vectors.deduplicate(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
     assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, 6, 0) for i in range(7)}
+
+
+def brute_links(rows):
+    """Exact links by double precision, and components, of rows (vec_id, label, vector) that take part."""
+    n = len(rows)
+    x = np.array([v for _, _, v in rows])
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = (x @ x.T >= 0.98) & ~np.eye(n, dtype=bool) & (np.array([r[1] for r in rows])[:, None] == np.array([r[1] for r in rows])[None, :])
+    low = np.arange(n)
+    while True:
+        after = np.minimum(low, np.where(close, low[None, :], n).min(axis=1, initial=n))
+        if (after == low).all():
+            return {(rows[i][0], int(close[i].sum()), rows[low[i]][0]) for i in range(n)}
+        low = after
+
+
+def test_vector_dedup_counts_links_by_blocks(spark, monkeypatch):
+    """Tight groups (counted by arithmetic), chains (compared) and copies, in blocks far smaller than a component."""
+    monkeypatch.setattr(op10_vectors, "BLOCK", 8)
+    rng = np.random.default_rng(4)
+    rows = []
+    for g, spread in enumerate((0.005, 0.02, 0.045)):
+        centre = rng.normal(size=12)
+        centre /= np.linalg.norm(centre)
+        rows += [(1000 * g + i, g % 2, [float(y) for y in centre + rng.normal(size=12) * spread]) for i in range(70)]
+    rows += [(5000 + i, r[1], r[2]) for i, r in enumerate(rows[::9])]
+    rows.sort()
+    got = op10_vectors.deduplicate(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == brute_links(rows)
+
+
+def test_vector_dedup_awkward_rows(spark):
+    """Null and repeated ids, lengths that differ, and pairs at exactly 0.98 (a double may round either way there, both as the dot product has it)."""
+    up, side = [0.98, (1 - 0.98**2) ** 0.5], [1.0, 0.0]
+    rows = [(1, 1, side), (2, 1, up), (None, 2, side), (3, 2, side), (4, 3, side), (4, 3, [0.0, 1.0]), (5, 4, [1.0]), (6, 4, side), (7, 5, [1.0, 0.0, 0.0])]
+    got = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in op10_vectors.deduplicate(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect())
+    linked = int(np.dot(np.array(side), np.array(up) / np.linalg.norm(up)) >= 0.98)
+    assert got == sorted([(1, linked, 1, True), (2, linked, 2 - linked, not linked), (0, 1, 3, False), (3, 1, 3, True), (4, 0, 4, True), (4, 0, 4, True), (5, 0, 5, True), (6, 0, 6, True), (7, 0, 7, True)])
+
+
+def test_vector_dedup_recall_is_reported(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, 1, [float(x) for x in rng.normal(size=24)]) for i in range(1500)]
+    rows += [(2000 + i, 1, [float(x) for x in np.array(rows[i][2]) + rng.normal(size=24) * 0.03]) for i in range(300)]  # planted links
+    _, nodes = op10_vectors.nodes_of(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>"))
+    found, recall = op10_vectors.neighbour_graph(spark, nodes)
+    by_node = {r.node: r.rep for r in nodes.select("node", "rep").collect()}
+    component = {by_node[r.node]: r.component for r in found.collect()}
+    true = [(i, 2000 + i) for i in range(300)]
+    assert recall >= 0.9 and sum(component.get(a, a) == component.get(b, b) for a, b in true) >= 0.97 * len(true)
