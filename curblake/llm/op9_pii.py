@@ -1,13 +1,17 @@
 """Personal data: base expressions and bootstrapped contextual extraction; DataFrame functions only.
 
 Base spans are the leftmost non-overlapping matches of four expressions, less those that fail their
-test.  The base entities are seeds: the words to their left and right are lexical patterns.  Patterns
-and instances (tokens with a digit or an @, known or not) form a graph that Spark scores by turns: a
-pattern's confidence in a kind is the mean belief of its instances, an unknown instance's belief is the
-mean confidence of its patterns.  After ROUNDS turns, patterns with at least SUPPORT different seeds
-and a confidence of CONFIDENCE give their kind to the unknown instances beside them.
-
-Null and empty texts have no spans.  Positions count code points; ends are exclusive.  Repeated rows
+test.  The base entities are the first seeds.  What may be an instance beside them is a whole run of
+tokens with a digit or an @ that no base span touches.  The words around an instance are its lexical
+patterns: one or two to the left, one or two to the right, and one on either side together.  Patterns and
+instances form a graph that Spark scores: a pattern's confidence in a kind is the mean belief of its
+instances, 1 for a seed of the kind, 0 for a seed of another and for an instance that can't be of the kind
+(PLAUSIBLE); another instance's belief is the mean confidence of its patterns.  Patterns with at least SUPPORT
+different seeds and a confidence of CONFIDENCE give their kind to the plausible instances beside them, which
+are seeds from then on, and so on until no pattern finds a new one.  An instance that is found is found
+wherever it stands.
+
+Extra columns are left alone, whatever they are named.  Null and empty texts have no spans.  Positions count code points; ends are exclusive.  Repeated rows
 get the same spans each.  A null id is kept as it is.  Texts are read whole.
 
 The expressions are written without backtracking (possessive, and emails start only where a run starts
@@ -20,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curblake.llm.common import spool
+from curblake.llm.common import release, spool
 
 #: Plain forms, as stated; fixed values.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
@@ -37,9 +41,11 @@ FORMS = {
 }
 #: Tokens with a digit or an @.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-ROUNDS, SUPPORT, CONFIDENCE = 2, 5, 0.9
-#: Characters on either side that are looked at for the next word.
+SUPPORT, CONFIDENCE = 5, 0.9
+#: Characters on either side that are looked at first for the next two words; where they don't hold two, all are.
 REACH = 64
+#: Characters between two tokens of a run.
+GAP = 2
 CHUNK = 256
 
 
@@ -108,48 +114,103 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("base", F.array_sort(F.concat(*map(numbered, range(len(KINDS)))))).drop(*[f"_{k}" for k in KINDS])
 
 
+#: Whether a text can be of a kind that the base expression missed.
+PLAUSIBLE = (
+    lambda v: v.contains("@"),
+    lambda v: v.rlike(r"^[0-9a-fA-F]*+(?:[.:][0-9a-fA-F]*+){3,}$"),
+    lambda v: F.length(_digits(v)).between(12, 19) & ~v.rlike(r"\p{L}|@"),
+    lambda v: F.length(_digits(v)).between(7, 15) & ~v.rlike(r"\p{L}|@"),
+)
+
+
+def _beside(text: Column, at: Column, left: bool) -> Column:
+    """The two words before or after a place, nearest first, in small letters and without punctuation at their ends."""
+    n = F.length(text)
+    if left:
+        near, every = F.substring(text, F.greatest(at - REACH, F.lit(0)).cast("int") + 1, F.least(at, F.lit(REACH)).cast("int")), F.substring(text, F.lit(1), at.cast("int"))
+    else:
+        near, every = F.substring(text, at.cast("int") + 1, F.lit(REACH)), F.substring(text, at.cast("int") + 1, n)
+    words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    whole = (at <= REACH) if left else (n - at <= REACH)
+    found = F.when(whole | (F.size(words(near)) > 2), words(near)).otherwise(words(every))
+    found = F.slice(F.reverse(found), 1, 2) if left else F.slice(found, 1, 2)
+    bare = lambda w: F.regexp_replace(w, r"^[\p{Punct}]++|[\p{Punct}]++$", "")
+    return F.transform(found, lambda w: F.lower(F.when(bare(w) != "", bare(w)).otherwise(w)))
+
+
+def _patterns(left: Column, right: Column) -> Column:
+    one, two = F.lit(1), F.lit(2)
+    l1, l2, r1, r2 = (F.try_element_at(c, i) for c in (left, right) for i in (one, two))
+    return F.array_compact(F.array(F.concat(F.lit("<"), l1), F.concat(F.lit("<<"), l2, F.lit(" "), l1), F.concat(F.lit(">"), r1), F.concat(F.lit(">>"), r1, F.lit(" "), r2), F.concat(F.lit("<>"), l1, F.lit(" "), r1)))
+
+
 def contexts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds array ``tokens`` of (start, end, value, left, right): tokens with a digit or @, and the words beside them."""
+    """Adds array ``tokens`` of (start, end, value, kind, patterns): base spans, and runs of tokens that may be more; needs ``base``."""
     out = located(docs, text, TOKEN, "_tokens", F.col(text).rlike("[0-9@]"))
-    word = lambda c: F.lower(F.regexp_replace(c, r"[\p{Punct}]++$", ""))
+    free = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"]))
+    out = out.withColumn("_free", F.filter("_tokens", free))
+    joined = lambda i: (i > 0) & (F.get("_free", i)["start"] - F.get("_free", i - 1)["end"] <= GAP)
+    places = F.when(F.size("_free") > 0, F.sequence(F.lit(0), F.size("_free") - 1)).otherwise(F.array().cast("array<int>"))
+    first, last = F.filter(places, lambda i: ~joined(i)), F.filter(places, lambda i: (i == F.size("_free") - 1) | ~joined(i + 1))
+    out = out.withColumn("_runs", F.zip_with(first, last, lambda i, j: F.struct(F.get("_free", i)["start"].alias("start"), F.get("_free", j)["end"].alias("end"))))
+    head, tail = r"^[\p{Punct}&&[^(+@]]++", r"[\p{Punct}&&[^)]]++$"
+
+    def trimmed(t: Column) -> Column:
+        whole = F.substring(F.col(text), t["start"].cast("int") + 1, (t["end"] - t["start"]).cast("int"))
+        value = F.regexp_replace(F.regexp_replace(whole, tail, ""), head, "")
+        start = t["start"] + F.length(whole) - F.length(F.regexp_replace(whole, head, ""))
+        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"), F.lit(None).cast("int").alias("kind"))
 
-    def beside(s: Column) -> Column:
-        left = F.substring(F.col(text), F.greatest(s["start"] - REACH, F.lit(0)).cast("int") + 1, F.least(s["start"], F.lit(REACH)).cast("int"))
-        right = F.substring(F.col(text), s["end"].cast("int") + 1, F.lit(REACH))
-        trimmed = F.regexp_replace(s["value"], r"[\p{Punct}]++$", "")
-        return F.struct(s["start"].alias("start"), (s["start"] + F.length(trimmed)).alias("end"), trimmed.alias("value"), word(F.element_at(F.split(F.rtrim(left), r"\s+"), -1)).alias("left"), word(F.element_at(F.split(F.ltrim(right), r"\s+"), 1)).alias("right"))
+    known = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), b["value"].alias("value"), b["kind"].alias("kind")))
+    out = out.withColumn("_every", F.concat(known, F.filter(F.transform("_runs", trimmed), lambda t: t["end"] > t["start"])))
+    seen = F.transform("_every", lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lower(t["value"]).alias("value"), t["kind"].alias("kind"), _patterns(_beside(F.col(text), t["start"], True), _beside(F.col(text), t["end"], False)).alias("patterns")))
+    return out.withColumn("tokens", seen).drop("_tokens", "_free", "_runs", "_every")
 
-    return out.withColumn("tokens", F.transform("_tokens", beside)).drop("_tokens")
+
+def _scores(edges: DataFrame) -> DataFrame:
+    """(pattern, s0.., c0..): different seeds of each kind, and the confidence in it.  edges(value, pattern, kind, p0.., b0..)."""
+    kinds = range(len(KINDS))
+    belief = [F.when(F.col("kind").isNotNull(), (F.col("kind") == k).cast("double")).when(~F.col(f"p{k}"), 0.0).otherwise(F.col(f"b{k}")) for k in kinds]
+    return edges.groupBy("pattern").agg(*[F.count_if(F.col("kind") == k).alias(f"s{k}") for k in kinds], *[F.avg(belief[k]).alias(f"c{k}") for k in kinds])
 
 
 def discover(found: DataFrame) -> DataFrame:
-    """found(doc_id, print, base, tokens) -> extra spans (doc_id, print, start, kind, end) that confident patterns name."""
-    token = found.select("doc_id", "print", "base", F.explode("tokens").alias("t"))
-    own = F.filter("base", lambda b: (b["start"] < F.col("t.end")) & (b["end"] > F.col("t.start")))
-    known = F.when(F.size(own) > 0, own[0]["kind"])
-    instance = token.select("doc_id", "print", F.col("t.start").alias("start"), F.col("t.end").alias("end"), F.col("t.value").alias("value"), known.alias("kind"), F.array(F.concat(F.lit("<"), "t.left"), F.concat(F.lit(">"), "t.right")).alias("patterns"))
+    """found(doc_id, print, tokens) -> extra spans (doc_id, print, start, kind, end) that confident patterns name."""
+    kinds = range(len(KINDS))
+    instance = found.select("doc_id", "print", F.explode("tokens").alias("t")).select("doc_id", "print", "t.*")
     # equal instances (value and patterns) count once, which also keeps copies of a text from voting
-    edges = instance.groupBy("value", "patterns").agg(F.max("kind").alias("kind")).select("value", "kind", F.explode("patterns").alias("pattern")).where(F.length("pattern") > 1).distinct()
-    edges = spool(edges, "pii-edges")
-    belief = [F.when(F.col("kind") == i, 1.0).when(F.col("kind").isNull(), F.coalesce(F.col(f"_b{i}"), F.lit(0.0))).otherwise(0.0) for i in range(len(KINDS))]
-    scored = edges.withColumns({f"_b{i}": F.lit(None).cast("double") for i in range(len(KINDS))})
-    patterns = None
-    for turn in range(ROUNDS):
-        patterns = spool(scored.groupBy("pattern").agg(F.count("*").alias("n"), *[F.avg(b).alias(f"_c{i}") for i, b in enumerate(belief)], *[F.count_if(F.col("kind") == i).alias(f"_s{i}") for i in range(len(KINDS))]), "pii-patterns")
-        if turn + 1 < ROUNDS:
-            unknown = edges.where(F.col("kind").isNull()).join(patterns, "pattern").groupBy("value").agg(*[F.avg(f"_c{i}").alias(f"_b{i}") for i in range(len(KINDS))])
-            scored = edges.join(unknown, "value", "left")
-    sure = F.array_compact(F.array(*[F.when((F.col(f"_s{i}") >= SUPPORT) & (F.col(f"_c{i}") >= CONFIDENCE), F.lit(i)) for i in range(len(KINDS))]))
-    confident = spool(patterns.select("pattern", sure.alias("_sure")).where(F.size("_sure") > 0).select("pattern", F.col("_sure")[0].alias("named")), "pii-confident")
-    unseen = instance.where(F.col("kind").isNull() & (F.length("value") > 0)).select("doc_id", "print", "start", "end", F.explode("patterns").alias("pattern"))
-    return unseen.join(confident, "pattern").groupBy("doc_id", "print", "start", "end").agg(F.min("named").alias("kind"))
+    once = instance.groupBy("value", "patterns").agg(F.max("kind").alias("kind"))
+    edges = spool(once.select("value", "kind", F.explode("patterns").alias("pattern")).groupBy("value", "pattern").agg(F.max("kind").alias("kind")), "pii-edges")
+    plausible = [PLAUSIBLE[k](F.col("value")).alias(f"p{k}") for k in kinds]
+    named = None
+    while True:
+        known = edges if named is None else edges.join(named, "value", "left").withColumn("kind", F.coalesce("kind", "found")).drop("found")
+        known = known.select("*", *plausible)
+        first = spool(_scores(known.select("*", *[F.lit(None).cast("double").alias(f"b{k}") for k in kinds])), "pii-patterns")
+        unknown = known.where(F.col("kind").isNull() & F.expr(" OR ".join(f"p{k}" for k in kinds)))
+        backed = first.where(F.expr(" OR ".join(f"s{k} > 0" for k in kinds)))
+        belief = unknown.select("value", "pattern").join(backed, "pattern").groupBy("value").agg(*[F.avg(f"c{k}").alias(f"b{k}") for k in kinds])
+        scored = spool(_scores(known.join(spool(belief, "pii-beliefs"), "value", "left")), "pii-patterns")
+        sure = F.array_compact(F.array(*[F.when((F.col(f"s{k}") >= SUPPORT) & (F.col(f"c{k}") >= CONFIDENCE), F.lit(k)) for k in kinds]))
+        confident = spool(scored.select("pattern", sure.alias("sure")).where(F.size("sure") > 0), "pii-confident")
+        fits = F.filter("sure", lambda k: F.get(F.array(*[F.col(f"p{i}") for i in kinds]), k))
+        new = unknown.join(confident, "pattern").select("value", F.explode(fits).alias("found")).groupBy("value").agg(F.min("found").alias("found"))
+        new = spool(new, "pii-named")
+        release(first, scored)
+        if new.isEmpty():
+            break
+        named = new if named is None else spool(named.unionByName(new), "pii-named")
+    if named is None:
+        return instance.where("false").select("doc_id", "print", "start", "kind", "end")
+    return instance.where(F.col("kind").isNull()).drop("kind").join(named.withColumnRenamed("found", "kind"), "value").select("doc_id", "print", "start", "kind", "end")
 
 
 def detect(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, print (a hash of the text), base spans, and extra: the spans that the method adds."""
     found = contexts(base_spans(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("_text")), "_text"), "_text")
     found = spool(found.select("doc_id", F.xxhash64("_text").alias("print"), "base", "tokens"), "pii-spans")
-    extra = spool(discover(found).groupBy("doc_id", "print").agg(F.array_sort(F.collect_set(F.struct("start", "kind", "end"))).alias("extra")), "pii-extra")
+    spans = F.array_sort(F.collect_set(F.struct("start", "kind", "end")))
+    extra = spool(discover(found).groupBy("doc_id", "print").agg(spans.alias("extra")), "pii-extra")
     at = found["doc_id"].eqNullSafe(extra["doc_id"]) & (found["print"] == extra["print"])
     return found.join(extra, at, "left").select(found["doc_id"], found["print"], "base", F.coalesce("extra", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")).alias("extra"))
 
@@ -172,20 +233,21 @@ def report(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with each span replaced by its kind in brackets, e.g. [email]; overlapping spans become one, named by the first."""
-    columns = docs.columns
-    extra = detect(docs, key, text).where(F.size("extra") > 0).select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"), "extra").distinct()
+    own = F.struct(*[F.col("`" + c + "`") for c in docs.columns]).alias("_row")
+    packed = docs.select(own, F.col(key).alias("_key"), F.col(text).alias("_text"), F.xxhash64(text).alias("_print"))
+    extra = detect(docs, key, text).where(F.size("extra") > 0).select(F.col("doc_id").alias("_id"), F.col("print").alias("_of"), "extra").distinct()
     extra = spool(extra, "pii-redact")
-    rows = base_spans(docs.withColumn("_print", F.xxhash64(text)).withColumnRenamed("_print", "_p"), text)
-    rows = rows.join(extra, rows[key].eqNullSafe(extra["_id"]) & (rows["_p"] == extra["_print"]), "left")
+    rows = base_spans(packed, "_text").join(extra, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_print") == F.col("_of")), "left")
     plain = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
     rows = rows.withColumn("_all", F.array_sort(F.array_union(plain, F.coalesce("extra", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")))))
-    names = F.array(*map(F.lit, KINDS))
+    names, source = F.array(*map(F.lit, KINDS)), F.col("_text")
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def add(a: Column, s: Column) -> Column:
-        gap = F.substring(F.col(text), a["at"].cast("int") + 1, (s["start"] - a["at"]).cast("int"))
+        gap = F.substring(source, a["at"].cast("int") + 1, (s["start"] - a["at"]).cast("int"))
         mark = F.concat(F.lit("["), F.element_at(names, s["kind"] + 1), F.lit("]"))
         return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] >= a["at"], F.concat(a["parts"], F.array(gap, mark))).otherwise(a["parts"]).alias("parts"))
 
-    new = F.aggregate("_all", zero, add, lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(F.col(text), a["at"].cast("int") + 1, F.length(text))))
-    return rows.withColumn("_new", F.when(F.size("_all") > 0, new).otherwise(F.col(text))).select(*[F.col("_new").alias(c) if c == text else F.col(f"`{c}`") for c in columns])
+    new = F.aggregate("_all", zero, add, lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(source, a["at"].cast("int") + 1, F.length(source))))
+    rows = rows.withColumn("_new", F.when(F.size("_all") > 0, new).otherwise(source))
+    return rows.select(*[F.col("_new").alias(c) if c == text else F.col("_row.`" + c + "`") for c in docs.columns])

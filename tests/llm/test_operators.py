@@ -329,10 +329,51 @@ def test_patterns_find_unseen_identifiers_and_leave_others(spark):
     start = other[0][1].index("user@")
     assert rows[100].spans == f"email:{start}:{start + 14}" and rows[100].n_email == 0
     assert rows[101].spans == ""
+    docs = spark.createDataFrame(seen + other, "doc_id long, text string").selectExpr("*", "'a' AS _row", "'b' AS base", "'c' AS _email", "'d' AS extra", "'e' AS _print", "'f' AS tokens")
+    assert op9_pii.redact(docs).columns == docs.columns and op9_pii.redact(docs).where("_row = 'a' AND base = 'b' AND _email = 'c'").count() == len(seen + other)
     text = {r.doc_id: r.text for r in op9_pii.redact(spark.createDataFrame(seen + other, "doc_id long, text string")).collect()}
     assert text[0] == "please write mailto [email] for news 0" and text[100] == "please write mailto [email] for news"
 
 
+def planted_identifiers():
+    """Base phones beside one pattern, phones of several tokens without + beside it and a second one, others beside the second; and numbers."""
+    rng, docs, hidden = random.Random(11), [], {}
+    number = lambda: f"{rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+    filler = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(4))
+    for i in range(12):
+        docs.append((i, f"{filler()} call me at: +1 (743) {number()} {filler()}"))
+    for i in range(20, 30):  # of two tokens, beside both patterns
+        value = f"(743) {number()}"
+        docs.append((i, f"{filler()} call me at: {value} {filler()}, ring only {value}, {filler()}"))
+        hidden[i] = [value, value]
+    for i in range(40, 50):  # beside the second one alone
+        value = f"743 {number()}"
+        docs.append((i, f"{filler()} ring only {value} {filler()}"))
+        hidden[i] = [value]
+    long = "x" * 500
+    docs += [(60, f"{long} call me at: 743 555 0199"), (61, f"in 1984 they met 42 people at 10 {filler()}"), (62, f"{filler()} ring only 3 times"), (63, "rooms 12 at 743")]
+    hidden[60] = ["743 555 0199"]
+    return docs, hidden
+
+
+def test_patterns_bootstrap_to_identifiers_of_several_tokens(spark):
+    docs, hidden = planted_identifiers()
+    rows = {r.doc_id: r for r in op9_pii.report(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    want = {}
+    for i, text in docs:
+        at, want[i] = 0, []
+        for value in hidden.get(i, []):
+            at = text.index(value, at)
+            want[i].append(f"phone:{at}:{at + len(value)}")
+            at += len(value)
+    found = {i: [s for s in rows[i].spans.split(",") if s] for i, _ in docs if i >= 20}
+    right = sum(len(set(found[i]) & set(want[i])) for i in found)
+    assert right >= 0.9 * sum(map(len, want.values()))  # recall
+    assert right >= 0.9 * sum(map(len, found.values()))  # precision
+    assert not any(found[i] for i in (61, 62, 63))
+    assert all(rows[i].n_phone == (i < 12) for i, _ in docs)
+
+
 # ---- op10 ----
 def test_vector_dedup_equals_brute_force(spark):
     rng = np.random.default_rng(10)
