@@ -37,12 +37,56 @@ def test_rules_and_trees(spark):
 def test_trees_learn_what_labels_say(spark):
     rng = random.Random(5)
     urls = [(i, f"http://h{rng.randint(0, 99)}.com/" + "".join(rng.choice("0123456789" if i % 2 else "abcdefghij") for _ in range(20))) for i in range(600)]
-    df = op2_urls.split_url(spark.createDataFrame(urls, "id long, url string")).withColumn("blocked", F.col("id") % 2 == 1)
+    df = op2_urls.split_url(spark.createDataFrame(urls, "id long, url string")).withColumn("blocked", F.col("id") % 2 == 1).withColumn("rule", (F.col("id") % 3).cast("string"))
     learn, test = df.where("id < 400"), df.where("id >= 400")
     statistics = op2_urls.suffix_statistics(learn)
     trees = op2_urls.train(learn, statistics)
     right = op2_urls.with_suffix(op2_urls.lexical(test), statistics).where((trees.column() >= 0.5) == F.col("blocked")).count()
-    assert right >= 190
+    report = op2_urls.audit(df, statistics, trees)
+    assert right >= 190 and report["auc"] > 0.95 and report["gain"]["digits"] + report["gain"]["entropy"] > 0.9
+
+
+def test_suffix_statistics_leave_out_the_own_fold_and_single_rules(spark):
+    """Brute force over a small table: counts of the other folds, and nothing from suffixes that one rule labels."""
+    rows = [(i, f"http://h{i}.{'aa' if i % 3 else 'bb'}/x", i % 2 == 0, "r1" if i % 3 == 0 else f"r{i % 4}") for i in range(80)] * 2
+    df = op2_urls.split_url(spark.createDataFrame(rows, "page_id long, url string, blocked boolean, rule string"))
+    statistics = op2_urls.suffix_statistics(df)
+    share = sum(r[2] for r in rows) / len(rows)
+    for learning in (True, False):
+        for r in op2_urls.with_suffix(op2_urls.lexical(df), statistics, learning).collect():
+            own = zlib.crc32(r.url.encode()) % 5
+            others = [o for o in rows if o[0] % 3 and (not learning or zlib.crc32(o[1].encode()) % 5 != own)] if r.page_id % 3 else []
+            assert abs(r.suffix_blocked - (sum(o[2] for o in others) + 5 * share) / (len(others) + 5)) < 1e-12
+
+
+def test_trees_equal_plain_boosting():
+    """Brute force: one row a url, no bins in common, the same scores as from counts of equal rows."""
+    rng = random.Random(3)
+    rows = [(tuple(rng.randint(0, 3) for _ in op2_urls.FEATURES), float(rng.random() < 0.5), 1.0) for _ in range(60)]
+    merged = {}
+    for bins, b, n in rows:
+        old = merged.get(bins, (0.0, 0.0))
+        merged[bins] = (old[0] + b, old[1] + n)
+    cuts = [[0.5, 1.5, 2.5]] * len(op2_urls.FEATURES)
+    one, two = op2_urls.fit(rows, cuts), op2_urls.fit([(k, *v) for k, v in merged.items()], cuts)
+
+    def score(trees, bins):
+        total = trees.base
+        for node in trees.trees:
+            while isinstance(node, tuple):
+                node = node[2] if bins[node[0]] <= node[1] else node[3]
+            total += node
+        return total
+
+    assert all(abs(score(one, r[0]) - score(two, r[0])) < 1e-6 for r in rows)
+    loss = lambda t: sum((1 / (1 + 2.718281828 ** -score(t, r[0])) - r[1]) ** 2 for r in rows)
+    assert loss(one) < 0.8 * sum((0.5 - r[1]) ** 2 for r in rows)
+
+
+def test_urls_repeated_rows_and_ties(spark):
+    rows = [(7, "http://x.com/a")] * 5 + [(None, "http://x.com/a"), (8, "http://a.example.net/en/x"), (9, "http://a.example.net/fr/x")]
+    got = op2_urls.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert len(got) == len(rows) and len({(r.verdict, r.p_block) for r in got if r.page_id in (7, None)}) == 1
 
 
 # ---- op3 ----
