@@ -9,7 +9,7 @@ Null and empty texts have a difference of 0 and get the curve's value there.  If
 labelled text, every score is the share of label 1 among the labelled (0.5 without any).  Labels null
 or other than 0 and 1 are not learned from; a document with both labels counts as 1.  Texts are scored
 whole; repeated rows are scored like any other.  The classifier is fitted on DICTIONARY + CALIBRATION
-texts of each class at most (a documented bound), chosen by a hash of the id.
+texts of each class at most, none over LONGEST characters (documented bounds), chosen by a hash of the id.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ DICTIONARY_BYTES = 112_640
 #: Labelled texts of a class: for its dictionary, and for the curve.
 DICTIONARY = 800
 CALIBRATION = 800
+#: Longest text to learn from, so that what comes to the driver is bounded.
+LONGEST = 32_768
 #: Score from which `predicted` is 1.
 THRESHOLD = 0.3
 
@@ -103,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame, dictionary: int = DICTIONARY, cali
     hashed = known.withColumn("_h", F.xxhash64("doc_id"))
     some = [hashed.where(F.col("quality") == q).orderBy("_h", "doc_id").limit(dictionary + calibration) for q in (0, 1)]
     # at most 2 x (dictionary + calibration) rows, so a broadcast is safe at any size
-    texts = docs.select("doc_id", "text").join(F.broadcast(some[0].unionByName(some[1])), "doc_id").groupBy("doc_id", "quality", "_h").agg(F.max("text").alias("text"))
+    texts = docs.select("doc_id", "text").where(F.length("text") <= LONGEST).join(F.broadcast(some[0].unionByName(some[1])), "doc_id").groupBy("doc_id", "quality", "_h").agg(F.max("text").alias("text"))
     by_class: dict[int, list[str]] = {0: [], 1: []}
     for r in sorted(texts.collect(), key=lambda r: (r["_h"], r["doc_id"])):
         if r["text"]:

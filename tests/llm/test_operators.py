@@ -222,6 +222,27 @@ def test_quality_awkward(spark, awkward):
     assert op5_quality.score(spark.createDataFrame([], EMPTY_DOCS), (None, 0.5)).count() == 0
 
 
+def test_quality_equals_plain_compression(spark):
+    """Brute force: every piece compressed with either dictionary, the sizes summed, the curve applied; repeats and ties alike."""
+    import pickle
+
+    import zstandard
+
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    packed, share = op5_quality.train(docs, labels)
+    bad, good, (a, b, c) = pickle.loads(packed)
+    plain = [zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d), level=3, write_content_size=False, write_checksum=False, write_dict_id=False) for d in (bad, good)]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in op5_quality.score(docs.union(docs.limit(5)), (packed, share)).collect():
+        data = (texts[r.doc_id] or "").encode()
+        pieces = [data[i : i + 512] for i in range(0, len(data), 512)]
+        x, y = (sum(len(z.compress(p)) for p in pieces) for z in plain)
+        gap = (x - y) / max(1, x + y)
+        want = 1 / (1 + np.exp(-np.clip(a + b * gap + c * gap * min(1.0, np.log1p(len(pieces)) / 3), -30, 30)))
+        assert abs(r.score - want) < 0.02 and r.predicted == int(r.score >= 0.3)
+
+
 # ---- op6 ----
 def test_mix_equals_sql(spark, sf, duck):
     from conftest import rows_of
