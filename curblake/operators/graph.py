@@ -22,26 +22,23 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return edges.unionByName(back)
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(street, node, component): the smallest node reachable; labels are halved by pointer jumping each round."""
-    both = adjacency(edges.select("street", "a", "b")).distinct().persist()
+def components(edges: DataFrame) -> DataFrame:
+    """(street, node, component): the smallest node reachable; labels are halved by pointer jumping each round, until none changes."""
+    both = cut(adjacency(edges.select("street", "a", "b")).distinct())
     label = both.groupBy("street", F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("component"))
-    for _ in range(rounds):
+    while True:
         near = both.join(label.withColumnRenamed("node", "b"), ["street", "b"]).groupBy("street", F.col("a").alias("node")).agg(F.min("component").alias("_c"))
         new = label.join(near, ["street", "node"]).select("street", "node", F.least("component", "_c").alias("component"))
         jump = new.select("street", F.col("node").alias("component"), F.col("component").alias("_j"))
-        new = new.join(jump, ["street", "component"], "left").select("street", "node", F.least("component", F.coalesce("_j", "component")).alias("component"))
-        new = cut(new)
-        same = new.join(label, ["street", "node", "component"], "left_anti").isEmpty()
+        new = cut(new.join(jump, ["street", "component"], "left").select("street", "node", F.least("component", F.coalesce("_j", "component")).alias("component")))
+        if new.join(label, ["street", "node", "component"], "left_anti").isEmpty():
+            return new
         label = new
-        if same:
-            break
-    return label
 
 
 def hops(edges: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
-    """(street, source, node, hops) by breadth first, to `most` hops or to the end; each level joins only the nodes that are new."""
-    both = adjacency(edges.select("street", "a", "b")).distinct().persist()
+    """(street, source, node, hops) by breadth first, to the end unless ``most`` hops are asked for; each level joins only the nodes that are new."""
+    both = cut(adjacency(edges.select("street", "a", "b")).distinct())
     seen = cut(sources.select("street", "source", F.col("source").alias("node"), F.lit(0).alias("hops")))
     front, last = seen, seen.drop("hops")  # the neighbours of a level lie in it, the one before, or the next
     for level in count(1) if most is None else range(1, most + 1):
@@ -135,3 +132,46 @@ def fragments(nodes: DataFrame, axis: DataFrame, slack: float = 1.0) -> DataFram
 def touching(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """Edges with an end among the seed nodes."""
     return edges.join(seeds.select(F.col("node").alias("a")), "a", "left_semi").unionByName(edges.join(seeds.select(F.col("node").alias("b")), "b", "left_semi").select(edges.columns)).distinct()
+
+
+def pick_qualified(found: DataFrame, centroids: DataFrame) -> DataFrame:
+    """found(street, request, component, start, finish, hops, metres, leg), a path for each component that holds both ends, and
+    centroids(street, component, x, y) -> of a request's paths the one whose component lies farthest to the leg's side (any, without a
+    leg), then with the fewest hops, then the shortest; tied if the next one ranks equal."""
+    leg = F.lower("leg")
+    side = F.when(leg.startswith("south"), F.col("y")).when(leg.startswith("north"), -F.col("y")).when(leg.startswith("east"), -F.col("x")).when(leg.startswith("west"), F.col("x"))
+    ranked = found.where(F.col("start") != F.col("finish")).join(centroids, ["street", "component"], "left").withColumn("_side", F.coalesce(side, F.lit(0.0)))
+    rank = F.rank().over(Window.partitionBy("street", "request").orderBy("_side", "hops", "metres"))
+    first = ranked.withColumn("_r", rank).where("_r = 1").groupBy("street", "request")
+    return first.agg(F.min_by("start", "component").alias("start"), F.min_by("finish", "component").alias("finish"), F.min("hops").alias("hops"), F.min("metres").alias("metres"), (F.count("*") > 1).alias("tied"))
+
+
+def qualified_ends(ids: DataFrame) -> DataFrame:
+    """ids(street, request, component, node, x, y, qualifier) of one end -> the node of each component: the extreme one in the
+    qualifier's direction, else the only one; a component with several nodes and no qualifier has none."""
+    q = F.lower(F.coalesce("qualifier", F.lit("")))
+    way = F.when(q.contains("west"), F.col("x")).when(q.contains("east"), -F.col("x")).when(q.contains("south"), F.col("y")).when(q.contains("north"), -F.col("y"))
+    ends = ids.withColumn("_way", way).groupBy("street", "request", "component")
+    ends = ends.agg(F.min_by("node", F.struct("_way", "node")).alias("node"), F.count("*").alias("_n"), F.count("_way").alias("_q"))
+    return ends.where((F.col("_n") == 1) | (F.col("_q") == F.col("_n"))).drop("_n", "_q")
+
+
+def to_terminus(edges: DataFrame, starts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """starts(street, request, start, toward) and nodes(street, node, component, x, y) -> (street, request, start, finish, hops,
+    metres): of a request's starts the longest path to the extreme node of its component in the wanted direction; where all of
+    these have no length, the longest path to the node farthest from a start.  Ties go to the smaller start."""
+    w = F.lower("toward")
+    score = F.when(w.contains("east"), F.col("x")).when(w.contains("west"), -F.col("x")).when(w.contains("north"), F.col("y")).otherwise(-F.col("y"))
+    own = starts.join(nodes.select("street", F.col("node").alias("start"), "component"), ["street", "start"])
+    ends = own.join(nodes, ["street", "component"]).groupBy("street", "request", "start").agg(F.min_by("node", F.struct((-score).alias("s"), F.col("node"))).alias("finish"))
+    asked = ends.withColumn("_id", F.struct("request", "start"))
+    numbered = cut(asked.withColumn("_k", F.xxhash64("street", "request", "start")))
+    best = paths(edges, numbered.select("street", F.col("_k").alias("request"), "start", "finish")).select("street", F.col("request").alias("_k"), "hops", "metres")
+    reached = numbered.drop("_id").join(best, ["street", "_k"])
+    longest = reached.groupBy("street", "request").agg(F.max_by(F.struct("start", "finish", "hops", "metres"), F.struct("metres", -F.col("start"))).alias("p")).select("street", "request", "p.*")
+    stuck = cut(longest.where(F.col("metres") < 0.001).select("street", "request"))
+    every = own.join(stuck, ["street", "request"]).join(nodes.select("street", "component", F.col("node").alias("finish")), ["street", "component"]).where(F.col("start") != F.col("finish"))
+    every = cut(every.select("street", "request", "start", "finish", F.xxhash64("street", "request", "start", "finish").alias("_k")))
+    far = paths(edges, every.select("street", F.col("_k").alias("request"), "start", "finish")).select("street", F.col("request").alias("_k"), "hops", "metres")
+    far = every.join(far, ["street", "_k"]).groupBy("street", "request").agg(F.max_by(F.struct("start", "finish", "hops", "metres"), F.struct("metres", -F.col("start"), -F.col("finish"))).alias("p")).select("street", "request", "p.*")
+    return longest.join(stuck, ["street", "request"], "left_anti").unionByName(far)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,3 +72,27 @@ def is_active(s: Column) -> Column:
         .otherwise(matched)
     )
     return F.coalesce(answer, F.lit(False))
+
+
+def cells(s: Column) -> Column:
+    """Where a schedule may be active: numbers of weekday x hour.  Windows give theirs, any other schedule all 168, a failed one none."""
+    windows = F.coalesce(s["windows"], F.array().cast(T.ArrayType(WINDOW)))
+
+    def of(w: Column) -> Column:
+        end = F.when(F.coalesce(w["crossesMidnight"], F.lit(False)) | (w["endMinute"] <= w["startMinute"]), w["endMinute"] + 1440).otherwise(w["endMinute"])
+        hours = F.sequence(F.floor(w["startMinute"] / 60).cast("int"), F.floor((F.greatest(end, w["startMinute"] + 1) - 1) / 60).cast("int"))
+        return F.flatten(F.transform(w["days"], lambda d: F.transform(hours, lambda h: (d * 24 + h % 24).cast("int"))))
+
+    by_windows = ~F.coalesce(s["inverted"], F.lit(False)) & ~s["status"].isin("anytime", "conditional")
+    own = F.array_distinct(F.flatten(F.transform(F.filter(windows, lambda w: w["days"].isNotNull() & w["startMinute"].isNotNull() & w["endMinute"].isNotNull()), of)))
+    return F.when(s["status"] == "failed", F.array().cast("array<int>")).when(by_windows, own).otherwise(F.sequence(F.lit(0), F.lit(7 * 24 - 1)))
+
+
+def active_at(schedules: DataFrame, slots: DataFrame, schedule: str = "schedule") -> DataFrame:
+    """D21 for tables: the rows of ``schedules`` beside each of the ``slots`` (columns of SLOT) they are active at.
+
+    Both meet on weekday and hour, so only a schedule's own hours are looked at; a pair meets once.
+    """
+    at = slots.select(*SLOT, (F.col("dayOfWeek") * 24 + F.floor(F.col("minuteOfDay") / 60)).cast("int").alias("_cell"))
+    where = schedules.withColumn("_cell", F.explode(cells(F.col(schedule))))
+    return where.join(at, "_cell").where(is_active(F.col(schedule))).drop("_cell")

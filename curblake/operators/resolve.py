@@ -88,16 +88,23 @@ def resolve_names(rows: DataFrame, index: NameIndex, name: str = "highway") -> D
 
 
 def postings(tokens_: DataFrame, descriptions: DataFrame, size: int = 3) -> DataFrame:
-    """(token, id, ord) where the description holds the token as a substring.
+    """(token, id, ord) where the description holds the token as a substring, however short it is.
 
-    Any text that holds a token holds its first letters, so both sides meet on those before the exact
-    test; a broadcast loop over all descriptions isn't needed.
+    Any text that holds a token holds every run of ``size`` letters of it, so both sides meet on the token's rarest run before
+    the exact test; a token with fewer letters meets on itself.  A broadcast loop over all descriptions isn't needed.
     """
     low = descriptions.select("id", "ord", F.lower("description").alias("d"))
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("d") - size + 1, F.lit(1))), lambda i: F.substring("d", i, F.lit(size))))
-    index = low.withColumn("_g", F.explode(grams))
-    asked = tokens_.select("token").distinct().where(F.length("token") >= size).withColumn("_g", F.substring("token", 1, size))
-    return asked.join(index, "_g").where(F.col("d").contains(F.col("token"))).select("token", "id", "ord")
+    runs = lambda c, n: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - n + 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(n))))
+    asked = tokens_.select("token").distinct().where(F.length("token") > 0)
+    lengths = [r["n"] for r in asked.where(F.length("token") < size).select(F.length("token").alias("n")).distinct().collect()]  # size - 1 at most
+    parts = whole = low.withColumn("_g", F.explode(runs("d", size)))
+    for n in lengths:
+        parts = parts.unionByName(low.withColumn("_g", F.explode(runs("d", n))))
+    common = whole.groupBy("_g").agg(F.count("*").alias("_times"))
+    long = asked.where(F.length("token") >= size).withColumn("_g", F.explode(runs("token", size))).join(common, "_g", "left")
+    rarest = long.groupBy("token").agg(F.min_by("_g", F.struct(F.coalesce("_times", F.lit(0)), "_g")).alias("_g"))
+    keyed = rarest.unionByName(asked.where(F.length("token") < size).select("token", F.col("token").alias("_g")))
+    return keyed.join(parts, "_g").where(F.col("d").contains(F.col("token"))).select("token", "id", "ord")
 
 
 def pair_intersections(pairs: DataFrame, found: DataFrame) -> DataFrame:
@@ -117,15 +124,6 @@ def root_pairs(pairs: DataFrame, descriptions: DataFrame) -> DataFrame:
     return one.join(two, ["pair", "id"]).groupBy("pair").agg(F.min("id").alias("id"), F.countDistinct("id").alias("n")).where("n = 1").drop("n")
 
 
-def disambiguate(candidates: DataFrame, crosses: DataFrame, touching: DataFrame) -> DataFrame:
-    """candidates(row, legal) x crosses(row, cross) -> (row, legal) where exactly one candidate shares an intersection with a cross.
-
-    touching(legal, cross): legal names and the cross keys they share an intersection with.
-    """
-    strong = candidates.join(crosses, "row").join(touching, ["legal", "cross"]).select("row", "legal").distinct()
-    return strong.groupBy("row").agg(F.min("legal").alias("legal"), F.count("*").alias("n")).where("n = 1").drop("n")
-
-
 def collisions(names: DataFrame) -> DataFrame:
     """Legal keys that several input names resolve to."""
     return names.groupBy("resolved").agg(F.countDistinct("highway").alias("names")).where("names > 1")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curblake.functions.names import attribution, between_kind, cross_kind
@@ -102,3 +102,28 @@ def difference(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
 def band(value: Column) -> Column:
     """Confidence bands."""
     return first((value.isNull(), F.lit("none")), (value < 0.5, F.lit("low")), (value < 0.8, F.lit("medium")), default=F.lit("high"))
+
+
+def feature_counts(features: DataFrame, kind: str, changed: str) -> DataFrame:
+    """Features by kind, and when one of the kind was last maintained."""
+    return features.groupBy(kind).agg(F.count("*").alias("n"), F.max(changed).alias("last"))
+
+
+def cohort_gate(parsed: DataFrame, least: float) -> DataFrame:
+    """parsed(reason_code): rows, how many parsed, and whether at least the share ``least`` did."""
+    n, fine = F.count("*"), F.count_if(F.col("reason_code").isNull())
+    return parsed.agg(n.alias("rows"), fine.alias("parsed"), (fine >= n * least).alias("pass"))
+
+
+def optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """An analysis table that may be missing or have no rows; then an empty one of the given columns."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def run_metadata(edges: DataFrame | None, source: str | None = None, manifest: dict | None = None, crs: str = "EPSG:32617") -> dict:
+    """What a run says of its road edges(kind): source, coordinates, manifest, and counts of strips and intersections."""
+    found = {r["kind"]: r["n"] for r in edges.groupBy("kind").agg(F.count("*").alias("n")).collect()} if edges is not None else {}
+    return {"source": source, "crs": crs, "manifest": dict(manifest or {}), "road_strip_count": found.get("Road Edge", 0), "intersection_count": found.get("Intersection", 0)}

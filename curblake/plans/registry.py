@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules of queries, in order.
-FAMILIES = ("text_queries", "space_queries", "report_queries", "stage_queries")
+FAMILIES = ("text_queries", "space_queries", "report_queries", "stage_queries", "context_queries")
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curblake.functions import between as B
 from curblake.functions import names as N
-from curblake.functions import schedule
+from curblake.functions.rx import blank
 from curblake.operators import clean as C
 from curblake.operators import triage as T
 from curblake.plans import views as V
@@ -32,12 +32,12 @@ def query(sql: str | None = None):  # noqa: ANN201
 def _ledger(spark: SparkSession, sf: str) -> DataFrame:
     raw = V.frame(spark, sf, V.RAW)
     failed = C.split_unpacked(C.unpack(C.active_rules(raw)))[1]
-    places = B.parse_rows(V.frame(spark, sf, V.PLACES_VIEW).where("template NOT IN (15, 16)")).where("reason_code IS NOT NULL")
-    empty = schedule.parse_rows(V.frame(spark, sf, V.TIMES_VIEW)).where("template = 16")
+    places = B.parse_rows(V.frame(spark, sf, V.PLACES_VIEW)).where("reason_code IS NOT NULL")
+    empty = V.frame(spark, sf, V.TIMES_VIEW).where(blank(F.col("times")))  # nothing to parse
     return T.ledger(failed, places.select(F.col("id").alias("row_id"), F.lit("parse").alias("stage"), "reason_code", "between"), empty.select(F.col("id").alias("row_id"), F.lit("schedule").alias("stage"), F.lit("SCHEDULE_EMPTY").alias("reason_code")))
 
 
-_LEDGER = f"SELECT id AS row_id, 'clean' AS stage, {_CODE} AS reason_code FROM rules WHERE {_ACTIVE} AND {_CODE} IS NOT NULL UNION ALL SELECT o_orderkey, 'parse', 'PARSE_EMPTY_BETWEEN' FROM {{orders}} WHERE o_orderkey % 20 = 17 UNION ALL SELECT o_orderkey, 'schedule', 'SCHEDULE_EMPTY' FROM {{orders}} WHERE o_orderkey % 20 = 16"
+_LEDGER = f"SELECT id AS row_id, 'clean' AS stage, {_CODE} AS reason_code FROM rules WHERE {_ACTIVE} AND {_CODE} IS NOT NULL UNION ALL SELECT o_orderkey, 'parse', CASE o_orderkey % 20 WHEN 16 THEN 'PARSE_NO_MATCH' ELSE 'PARSE_EMPTY_BETWEEN' END FROM {{orders}} WHERE o_orderkey % 20 IN (16, 17) UNION ALL SELECT o_orderkey, 'schedule', 'SCHEDULE_EMPTY' FROM {{orders}} WHERE o_orderkey % 20 = 16"
 
 
 @query(V.oracle("SELECT CAST(row_id AS VARCHAR) AS row_id, stage, reason_code FROM l", rules=V.RULES, l=_LEDGER))

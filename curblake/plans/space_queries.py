@@ -153,10 +153,10 @@ def graph_components(spark, sf):  # noqa: ANN001, ANN201
 _SOURCES = "SELECT street, min(a) AS source FROM ({e}) AS e GROUP BY street".replace("{e}", EDGES)
 
 
-@query(V.oracle("SELECT n.street, s.source, n.node, CAST(n.pos AS INT) AS hops FROM n JOIN (SELECT street, min(node) AS source FROM n GROUP BY street) s ON s.street = n.street AND n.component = s.source WHERE n.pos <= 25", n=_CHAIN))
+@query(V.oracle("SELECT n.street, s.source, n.node, CAST(n.pos AS INT) AS hops FROM n JOIN (SELECT street, min(node) AS source FROM n GROUP BY street) s ON s.street = n.street AND n.component = s.source", n=_CHAIN))
 def graph_bfs_hops(spark, sf):  # noqa: ANN001, ANN201
     """G02, by levels."""
-    return G.hops(V.frame(spark, sf, EDGES), V.frame(spark, sf, _SOURCES), most=25)
+    return G.hops(V.frame(spark, sf, EDGES), V.frame(spark, sf, _SOURCES))
 
 
 _REQUESTS = "SELECT c_nationkey AS street, c_custkey AS request, c_custkey AS start, c_custkey + 50 AS finish FROM {customer}"
@@ -287,11 +287,11 @@ BOXES = "SELECT o_orderkey AS id, CAST((o_orderkey * 37) % 3000 AS DOUBLE) AS x0
 POINTS = "SELECT c_custkey AS point_id, CAST((c_custkey * 53) % 1000 AS DOUBLE) AS x, CAST((c_custkey * 29) % 1000 AS DOUBLE) AS y FROM {customer}"
 
 
-@query(V.oracle("SELECT a.id AS left_id, b.id AS right_id FROM b a JOIN b ON a.id < b.id AND a.x0 <= b.x1 AND a.x1 >= b.x0 AND a.y0 <= b.y1 AND a.y1 >= b.y0 WHERE a.id % 2 = 0 AND b.id % 2 = 1", b=BOXES))
+@query(V.oracle("SELECT a.id AS left_id, b.id AS right_id FROM b a JOIN b ON a.id < b.id AND a.x0 <= b.x1 AND a.x1 >= b.x0 AND a.y0 <= b.y1 AND a.y1 >= b.y0", b=BOXES))
 def spatial_box_intersect(spark, sf):  # noqa: ANN001, ANN201
-    """Even boxes against odd ones."""
+    """All pairs of boxes that meet."""
     b = V.frame(spark, sf, BOXES)
-    return X.box_pairs(b.where("id % 2 = 0"), b.where("id % 2 = 1")).where("left_id < right_id")
+    return X.box_pairs(b, b).where("left_id < right_id")
 
 
 @query(V.oracle("SELECT line_id, point_id FROM l JOIN p ON y BETWEEN y0 - 12 AND y0 + 12 AND x BETWEEN x0 - 12 AND x0 + len + 12 WHERE pow(greatest(x0 - x, 0, x - x0 - len), 2) + pow(y - y0, 2) <= 144", l=LINES, p=POINTS))
@@ -326,10 +326,10 @@ def compass8(spark, sf):  # noqa: ANN001, ANN201
     return spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("id"), L.compass8(F.sin(angle), F.cos(angle)).alias("way"))
 
 
-@query(V.oracle("SELECT line_id, 7.0 + line_id % 5 AS \"left\", 6.0 + line_id % 3 AS \"right\", 1.0 AS coverage FROM l WHERE line_id <= 200", l=LINES))
+@query(V.oracle("SELECT line_id, 7.0 + line_id % 5 AS \"left\", 6.0 + line_id % 3 AS \"right\", 1.0 AS coverage FROM l", l=LINES))
 def ray_hits(spark, sf):  # noqa: ANN001, ANN201
     """Parallel walls to the left and right of straight lines."""
-    l = _lines(spark, sf).where("line_id <= 200").withColumn("line", F.array(L.point(F.col("line_id") * 1000.0, F.lit(0)), L.point(F.col("line_id") * 1000.0 + F.col("len"), F.lit(0))))  # noqa: E741
+    l = _lines(spark, sf).withColumn("line", F.array(L.point(F.col("line_id") * 1000.0, F.lit(0)), L.point(F.col("line_id") * 1000.0 + F.col("len"), F.lit(0))))  # noqa: E741
     wall = lambda y: (L.point(F.col("line_id") * 1000.0 - 5, y), L.point(F.col("line_id") * 1000.0 + F.col("len") + 5, y))
     up, low = wall(7.0 + F.col("line_id") % 5), wall(-(6.0 + F.col("line_id") % 3))
     walls = l.select(F.explode(F.array(F.struct((F.col("line_id") * 2).alias("wall_id"), up[0].alias("p"), up[1].alias("q")), F.struct((F.col("line_id") * 2 + 1).alias("wall_id"), low[0].alias("p"), low[1].alias("q")))).alias("w")).select("w.*")

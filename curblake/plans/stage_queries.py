@@ -10,7 +10,8 @@ from curblake.functions.between import COMPASS, primary_compass, qualifier
 from curblake.operators import lanes, placement, resolve, slicing
 from curblake.plans import pipeline
 from curblake.plans import views as V
-from curblake.plans.space_queries import _IX, _PAIRS, ALIASES, LEGAL, LINES, _index, _lines
+from curblake.operators import graph as G
+from curblake.plans.space_queries import _CHAIN, _IX, _PAIRS, _PATHS, _REQUESTS, ALIASES, EDGES, LEGAL, LINES, _index, _lines
 from curblake.plans.text_queries import _ACTIVE, _CODE
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -40,7 +41,7 @@ def lane_resolution(spark, sf):  # noqa: ANN001, ANN201
 
 _RULE = V.case("line_id % 6", [V.text(t) for t in ("entire_length", "perfect_offset", "offset_to_intersect", "block", "dual_anchor", "relative_extension")])
 _SPANS = f"""
-SELECT line_id, {_RULE} AS rule_type, CASE line_id % 6 WHEN 0 THEN 0.0 WHEN 1 THEN a WHEN 2 THEN up WHEN 3 THEN a WHEN 4 THEN up ELSE least(len, a + off) END AS d0,
+SELECT line_id, {_RULE} AS rule_type, CASE line_id % 6 WHEN 0 THEN 0.0 WHEN 1 THEN a WHEN 2 THEN up WHEN 3 THEN a WHEN 4 THEN up ELSE CASE WHEN abs(least(len, a + off) - least(len, a + off + 5)) < 0.001 THEN least(len, greatest(0, least(len, a + off + 5) - 5)) ELSE least(len, a + off) END END AS d0,
   CASE line_id % 6 WHEN 0 THEN len WHEN 1 THEN up WHEN 2 THEN len / 2 WHEN 3 THEN len / 2 WHEN 4 THEN CASE WHEN len / 2 - 5 < 0 THEN greatest(0, len / 2 + 5) ELSE len / 2 - 5 END ELSE least(len, a + off + 5) END AS d1
 FROM (SELECT *, CASE WHEN a + off > len THEN greatest(0, a - off) ELSE a + off END AS up FROM (SELECT *, least(spot, len) AS a FROM l))"""
 
@@ -52,17 +53,17 @@ def _parsed(spark, sf):  # noqa: ANN001, ANN202
     return rows.select(F.col("line_id").alias("row_id"), F.col("line_id").alias("street"), "line", kind.alias("rule_type"), "len", F.least("spot", "len").alias("at_start"), (F.col("len") / 2).alias("at_end"), F.lit(None).cast("double").alias("at_offset"), F.lit(0.0).alias("at_start_spread"), F.col("off").alias("distance"), F.lit("east").alias("direction"), F.col("off").alias("dist1"), F.lit(5.0).alias("dist2"), F.lit("east").alias("dir1"), F.when(F.col("line_id") % 6 == 4, "west").alias("dir2"), *[none.alias(c) for c in ("terminus_direction", "terminus_start_dir", "terminus_end_dir")])
 
 
-@query(V.oracle("SELECT line_id, rule_type, round(d0, 6) AS d0, round(d1, 6) AS d1 FROM s WHERE rule_type <> 'relative_extension'", l=LINES, s=_SPANS))
+@query(V.oracle("SELECT line_id, rule_type, round(d0, 6) AS d0, round(d1, 6) AS d1 FROM s", l=LINES, s=_SPANS))
 def slice_by_rule(spark, sf):  # noqa: ANN001, ANN201
     """Along-line distances by rule type."""
-    rows = slicing.distances(_parsed(spark, sf)).where("rule_type <> 'relative_extension'")
+    rows = slicing.distances(_parsed(spark, sf))
     return rows.select(F.col("row_id").alias("line_id"), "rule_type", F.round("d0", 6).alias("d0"), F.round("d1", 6).alias("d1"))
 
 
-@query(V.oracle("SELECT rule_type, count(*) AS n, count(*) FILTER (WHERE abs(d0 - d1) < 0.001 AND rule_type IN ('block', 'entire_length', 'dual_anchor')) AS zero_span FROM s WHERE rule_type <> 'relative_extension' GROUP BY 1", l=LINES, s=_SPANS))
+@query(V.oracle("SELECT rule_type, count(*) AS n, count(*) FILTER (WHERE abs(d0 - d1) < 0.001 AND rule_type IN ('block', 'entire_length', 'dual_anchor')) AS zero_span FROM s GROUP BY 1", l=LINES, s=_SPANS))
 def slice_outcomes(spark, sf):  # noqa: ANN001, ANN201
     """Pieces and reasons by rule type."""
-    rows = slicing.slices(_parsed(spark, sf)).where("rule_type <> 'relative_extension'")
+    rows = slicing.slices(_parsed(spark, sf))
     return rows.groupBy("rule_type").agg(F.count("*").alias("n"), F.count_if(F.col("reason_code") == "ZERO_SPAN").alias("zero_span"))
 
 
@@ -129,8 +130,7 @@ def alias_suggestions(spark, sf):  # noqa: ANN001, ANN201
     one = names.withColumn("key", F.regexp_replace("key", "^qqnation", "qnation"))
     near = resolve.near_matches(one.select("key"), names.select("legal"))
     new = near.join(V.frame(spark, sf, ALIASES).select(F.col("name").alias("key")), "key", "left_anti")
-    exact = new.where(F.concat(F.lit("q"), "legal") == F.col("key"))
-    return one.join(exact.select("key", F.col("legal").alias("suggested")), "key").select("id", "suggested")
+    return one.join(new.select("key", F.col("legal").alias("suggested")), "key").select("id", "suggested")
 
 
 @query(V.oracle("SELECT n_nationkey AS id, 'start_street' || n_name AS cross_street FROM {nation}").replace("'start_street' || ", ""))
@@ -140,11 +140,16 @@ def ledger_detail_cross(spark, sf):  # noqa: ANN001, ANN201
     return n.select(F.col("n_nationkey").alias("id"), N.cross_of_detail(F.concat(F.lit("start_intersection='"), "n_name", F.lit("'"))).alias("cross_street"))
 
 
-@query(V.oracle("SELECT row, legal FROM (SELECT c_nationkey AS row, min(c_custkey) AS legal, count(*) AS n FROM {customer} WHERE c_custkey % 40 = 0 GROUP BY 1) WHERE n = 1"))
+_ROW = "street * 1000 + request % 97"
+
+
+@query(V.oracle(f"SELECT row, legal FROM (SELECT {_ROW} AS row, min(request) AS legal, count(*) AS n FROM ({_PATHS}) GROUP BY 1) WHERE n = 1", n=_CHAIN))
 def lane_by_graph(spark, sf):  # noqa: ANN001, ANN201
-    """Exactly one candidate with a single best path."""
-    c = V.frame(spark, sf, "SELECT c_nationkey AS row, c_custkey AS legal FROM {customer}")
-    return lanes.choose_by_graph(c, c.withColumn("status", F.when(F.col("legal") % 40 == 0, "ok").otherwise("tied")))
+    """Of a row's candidates (requests) exactly one has a single best path on its street's graph."""
+    requests = V.frame(spark, sf, _REQUESTS)
+    found = G.status(requests, G.pick(G.paths(V.frame(spark, sf, EDGES), requests)))
+    statuses = found.select(F.expr(_ROW).alias("row"), F.col("request").alias("legal"), "status")
+    return lanes.choose_by_graph(statuses.select("row", "legal"), statuses)
 
 
 _COLLAPSE = "SELECT c_custkey AS id, CASE WHEN c_custkey % 5 = 0 THEN 'block' ELSE 'perfect_offset' END AS rule_type, CAST(40 + c_custkey % 30 AS DOUBLE) AS metres, CAST(CASE c_custkey % 4 WHEN 0 THEN -5 WHEN 1 THEN 40 + c_custkey % 30 WHEN 2 THEN 7 ELSE 9 END AS DOUBLE) AS raw0, CAST(CASE c_custkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 200 WHEN 2 THEN 7 ELSE 12 END AS DOUBLE) AS raw1, CAST(c_custkey % 60 AS DOUBLE) AS start_apart, CAST(c_custkey % 37 AS DOUBLE) AS end_apart, c_custkey % 3 AS start_matches, c_custkey % 2 AS end_matches FROM {customer}"
@@ -161,14 +166,14 @@ def collapse_diagnosis(spark, sf):  # noqa: ANN001, ANN201
 
 _PLACED = """
 SELECT line_id, CASE line_id % 4 WHEN 0 THEN 'left' WHEN 1 THEN 'right' WHEN 2 THEN 'both' END AS side, CASE line_id % 4 WHEN 3 THEN 'unresolved' ELSE 'road_edge' END AS method, CASE line_id % 4 WHEN 3 THEN 0.0 ELSE 1.0 END AS confidence,
-  CASE line_id % 4 WHEN 1 THEN -(6.0 + line_id % 3) WHEN 3 THEN 0.0 ELSE 7.0 + line_id % 5 END AS first_y, CASE line_id % 4 WHEN 2 THEN 2 ELSE 1 END AS lines FROM l WHERE line_id <= 200"""
+  CASE line_id % 4 WHEN 1 THEN -(6.0 + line_id % 3) WHEN 3 THEN 0.0 ELSE 7.0 + line_id % 5 END AS first_y, CASE line_id % 4 WHEN 2 THEN 2 ELSE 1 END AS lines FROM l"""
 
 
 @query(V.oracle("SELECT * FROM s", l=LINES, s=_PLACED))
 def curb_place(spark, sf):  # noqa: ANN001, ANN201
     """Straight pieces between two walls, by the wanted side."""
     far = F.col("line_id") * 1000.0
-    l = _lines(spark, sf).where("line_id <= 200").withColumn("piece", F.array(L.point(far, F.lit(0)), L.point(far + F.col("len"), F.lit(0))))  # noqa: E741
+    l = _lines(spark, sf).withColumn("piece", F.array(L.point(far, F.lit(0)), L.point(far + F.col("len"), F.lit(0))))  # noqa: E741
     wall = lambda n, y: F.struct((F.col("line_id") * 2 + n).alias("wall_id"), L.point(far - 5, y).alias("p"), L.point(far + F.col("len") + 5, y).alias("q"))
     walls = l.select(F.explode(F.array(wall(0, 7.0 + F.col("line_id") % 5), wall(1, -(6.0 + F.col("line_id") % 3)))).alias("w")).select("w.*")
     k = F.col("line_id") % 4

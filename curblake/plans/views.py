@@ -47,6 +47,26 @@ TIMES = (
     ("8:00 a.m. to 6:00 p.m., except July and August", "minuteOfDay >= 480 AND minuteOfDay < 1080 AND month NOT IN (7, 8)"),
     ("6:00 p.m. Fri. to 7:00 a.m. Mon.", "(dayOfWeek = 5 AND minuteOfDay >= 1080 AND minuteOfDay < 1439) OR (dayOfWeek IN (0, 6) AND minuteOfDay < 1439) OR (dayOfWeek = 1 AND minuteOfDay < 420)"),
 )
+_AM, _PM, _WEEK = "h * 60", "k * 60 + 720", "1,2,3,4,5"
+#: The windows that are expected of each time text, as SQL of h and k.
+TIMES_WINDOWS = ((), ((_AM, "k * 60 + 750"),), ((_AM, "k * 60 + 750"),), ((_AM, _PM),), ((_AM, _PM),), ((_AM, _PM),), ((120, 360),), (), ((480, 1080),), ((1260, 420),), (), ((_AM, _PM),), ((_AM, _PM),), ((0, 1439),), ((420, 540), (960, 1080)), (), (), ((0, 1439),), ((480, 1080),), ((1080, 1439), (0, 1439), (0, 420)))
+_EVERY = "0,1,2,3,4,5,6"
+_TIMES_DAYS = ((), (_EVERY,), (_WEEK,), ("1,2,3,4,5,6",), ("6",), (_WEEK,), (_EVERY,), (), (_WEEK,), (_EVERY,), (), (_EVERY,), (_EVERY,), (_EVERY,), (_EVERY, _WEEK), (), (), ("0,6",), (_EVERY,), ("5", "6,0", "1"))
+_TIMES_STATUS = ("anytime", "ok", "ok", "ok", "ok", "ok", "ok", "conditional", "ok", "ok", "anytime", "ok", "ok", "ok", "ok", "failed", "failed", "ok", "ok", "ok")
+_TIMES_CALENDAR = {6: '"monthRanges":[<"startMonth":12,"startDay":1,"endMonth":3,"endDay":31>]', 10: '"months":[7,8]', 11: '"dayOfMonthRanges":[<"start":1,"end":15>]', 12: '"dayOfMonthRanges":[<"start":16,"end":"last">]', 13: '"monthRanges":[<"startMonth":4,"startDay":1,"endMonth":11,"endDay":30>]', 18: '"months":[1,2,3,4,5,6,9,10,11,12]'}
+
+
+def _times_json(i: int) -> str:
+    """The JSON that is expected of a time text, as SQL; its braces are written < and >."""
+    calendar = f',"calendar":<{_TIMES_CALENDAR[i]}>' if i in _TIMES_CALENDAR else ""
+    windows = ",".join(f"""<"days":[{days}],"startMinute":' || ({a}) || ',"endMinute":' || ({b}) || ',"crossesMidnight":{'true' if i == 9 else 'false'}{calendar}>""" for days, (a, b) in zip(_TIMES_DAYS[i], TIMES_WINDOWS[i], strict=True))
+    more = {7: ',"condition":"major_snowstorm_declared","is_snow_route":true', 8: ',"inverted":true'}.get(i, "")
+    after = {5: ',"flags":<"exceptPublicHolidays":true>', 17: ',"flags":<"exceptPublicHolidays":true>', 10: calendar, 15: ',"unparsedClauses":["on alternate afternoons"]'}.get(i, "")
+    whole = f"""'<"v":1,"status":"{_TIMES_STATUS[i]}","source":"' || coalesce(times, '') || '"{more},"windows":[{windows}]{after}>'"""
+    return f"translate({whole}, '<>', '{{{{}}}}')"
+
+
+TIMES_JSON = case("template", [_times_json(i) for i in range(len(TIMES))])
 _hours = "CAST(7 + o_orderkey % 4 AS STRING)", "CAST(3 + o_orderkey % 4 AS STRING)"
 TIMES_TEXT = f"replace(replace({case('o_orderkey % 20', [text(t) for t, _ in TIMES])}, '<h>', {_hours[0]}), '<k>', {_hours[1]})"
 
