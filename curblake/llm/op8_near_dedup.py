@@ -189,42 +189,46 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _shared(classes: DataFrame) -> DataFrame:
-    """(key, node, centre) of the index keys that several classes share; centre: the smallest."""
+def _shared(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, salt, node, centre) of the index keys that several classes share, centre: the smallest; and (key, parts) of the hot ones."""
     keys = classes.select("node", F.explode(_keys()).alias("key"))
     centres = keys.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("_n")).where(F.col("_n") > 1)
-    centres = spool(centres.withColumn("_parts", F.ceil(F.col("_n") / HOT).cast("int")).drop("_n"), "centres")
-    hot = spool(centres.where(F.col("_parts") > 1).select("key", "_parts"), "hot-keys")  # at most keys / HOT rows
-    dealt = keys.join(hot, "key", "left").withColumn("_salt", F.pmod(F.xxhash64("node"), F.coalesce("_parts", F.lit(1))).cast("int")).drop("_parts")
-    spread = centres.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
-    return spool(dealt.join(spread, ["key", "_salt"]).drop("_salt"), "shared-keys")
+    centres = spool(centres.withColumn("parts", F.ceil(F.col("_n") / HOT).cast("int")).drop("_n"), "centres")
+    hot = spool(centres.where(F.col("parts") > 1).select("key", "parts"), "hot-keys")  # at most keys / HOT rows
+    dealt = keys.join(hot, "key", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    return spool(dealt.join(_spread(centres), ["key", "salt"]), "shared-keys"), hot
+
+
+def _spread(by_key: DataFrame) -> DataFrame:
+    """A row a key -> one a key and salt; by_key has parts."""
+    return by_key.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
 
 
 def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
     """(node, component) of the classes that are linked with another."""
-    shared = _shared(classes)
+    shared, hot = _shared(classes)
     pairs = spool(shared.where(F.col("node") != F.col("centre")).select(*_pair("node", "centre")).distinct(), "pairs-0")
     if pairs.isEmpty():
         return None
     links = new = _confirm(pairs, docs, classes)
-    tested, keys = pairs, shared.select("key", "node")
+    tested, keys = pairs, shared.select("key", "salt", "node")
     found = None
     for turn in range(1, CENTRES + 2):
         found = spool(components(links), "components") if found is None or not new.isEmpty() else found
-        own = keys.join(found, keys["node"] == found["node"], "left").select("key", keys["node"], F.coalesce(found["component"], keys["node"]).alias("component"))
+        own = keys.join(found, keys["node"] == found["node"], "left").select("key", "salt", keys["node"], F.coalesce(found["component"], keys["node"]).alias("component"))
         mixed = own.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where(F.col("_lo") < F.col("_hi")).select("key")
-        keys = spool(own.join(mixed, "key", "left_semi"), f"mixed-{turn}")
+        keys = spool(own.join(_spread(mixed.join(hot, "key", "left")), ["key", "salt"], "left_semi"), f"mixed-{turn}")
         if keys.isEmpty():
             return found
         if turn <= CENTRES:  # another centre for each key
             place = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")
             centre = keys.groupBy("key").agg(F.min(place).alias("c"))
-            pairs = keys.join(centre, "key").where(F.col("component") != F.col("c.component")).select(*_pair("node", "c.node"))
+            pairs = keys.join(_spread(centre.join(hot, "key", "left")), ["key", "salt"]).where(F.col("component") != F.col("c.component")).select(*_pair("node", "c.node"))
         else:  # the rest, exactly
             pairs = _across(docs, spool(keys.select("node", "component").distinct(), "rest-nodes"), classes)
         pairs = spool(pairs.distinct().join(tested, ["a", "b"], "left_anti"), f"pairs-{turn}")
         new = _confirm(pairs, docs, classes)
-        tested, links, keys = tested.unionByName(pairs), links.unionByName(new), keys.select("key", "node")
+        tested, links, keys = tested.unionByName(pairs), links.unionByName(new), keys.select("key", "salt", "node")
     return spool(components(links), "components") if not new.isEmpty() else found
 
 
