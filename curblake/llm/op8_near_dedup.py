@@ -196,10 +196,10 @@ def _shared(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     centres = spool(centres.withColumn("parts", F.ceil(F.col("_n") / HOT).cast("int")).drop("_n"), "centres")
     hot = spool(centres.where(F.col("parts") > 1).select("key", "parts"), "hot-keys")  # at most keys / HOT rows
     dealt = keys.join(hot, "key", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
-    return spool(dealt.join(_spread(centres), ["key", "salt"]), "shared-keys"), hot
+    return spool(dealt.join(_salted(centres), ["key", "salt"]), "shared-keys"), hot
 
 
-def _spread(by_key: DataFrame) -> DataFrame:
+def _salted(by_key: DataFrame) -> DataFrame:
     """A row a key -> one a key and salt; by_key has parts."""
     return by_key.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
 
@@ -217,13 +217,13 @@ def link_classes(docs: DataFrame, classes: DataFrame) -> DataFrame | None:
         found = spool(components(links), "components") if found is None or not new.isEmpty() else found
         own = keys.join(found, keys["node"] == found["node"], "left").select("key", "salt", keys["node"], F.coalesce(found["component"], keys["node"]).alias("component"))
         mixed = own.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where(F.col("_lo") < F.col("_hi")).select("key")
-        keys = spool(own.join(_spread(mixed.join(hot, "key", "left")), ["key", "salt"], "left_semi"), f"mixed-{turn}")
+        keys = spool(own.join(_salted(mixed.join(hot, "key", "left")), ["key", "salt"], "left_semi"), f"mixed-{turn}")
         if keys.isEmpty():
             return found
         if turn <= CENTRES:  # another centre for each key
             place = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")
             centre = keys.groupBy("key").agg(F.min(place).alias("c"))
-            pairs = keys.join(_spread(centre.join(hot, "key", "left")), ["key", "salt"]).where(F.col("component") != F.col("c.component")).select(*_pair("node", "c.node"))
+            pairs = keys.join(_salted(centre.join(hot, "key", "left")), ["key", "salt"]).where(F.col("component") != F.col("c.component")).select(*_pair("node", "c.node"))
         else:  # the rest, exactly
             pairs = _across(docs, spool(keys.select("node", "component").distinct(), "rest-nodes"), classes)
         pairs = spool(pairs.distinct().join(tested, ["a", "b"], "left_anti"), f"pairs-{turn}")
