@@ -20,10 +20,10 @@ are under way (the state each left, and the place in the trie of labels).  A cel
 takes one look-up a symbol, and the labels are read back from its end.  Cells are made when first reached.
 Decoding emits arc labels.
 
-Words are normalised and pre-split as the vocabulary file says.  White space in ASCII parts words whatever
-the file's pattern is about, so texts are cut there, and each piece is looked up, or handled, once: ASCII
-pieces here, others by the tokenizer library's own normaliser and splitter, whose character tables are those
-to match.
+Words are normalised and pre-split as the vocabulary file says: runs of characters that are below U+0250 in small
+letters, where all versions of Unicode agree and nothing composes, by an expression, and what lies between white space and holds
+other characters by the tokenizer library's own normaliser and splitter, whose tables are those to match.
+Each word is encoded once and remembered.
 
 Null texts count as empty; an empty text has no tokens.  Lone surrogates, which no table can hold, count as
 U+FFFD.  Repeated rows are encoded like any other, extra columns pass through `encode` untouched unless they
@@ -35,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import unicodedata
 from functools import lru_cache
 
 import pandas as pd
@@ -43,7 +44,7 @@ from pyspark.sql import DataFrame
 from curblake.llm.common import by_batch
 
 TOKENIZER = "word_bpe_49k.json"
-#: Distinct pieces, and table cells, that a Python worker remembers at once.
+#: Distinct words, and table cells, that a Python worker remembers at once.
 MEMORY = 200_000
 CELLS = 500_000
 #: Bits of a symbol and of a token in a packed key.
@@ -165,6 +166,16 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in keep else chr(next(spare)) for b in range(256)]
 
 
+def _classes(limit: int = 0x250) -> tuple[str, str, str]:
+    """Letters, numbers and white space below ``limit`` as character class bodies."""
+    out = {"L": "", "N": "", "Z": ""}
+    for c in map(chr, range(limit)):
+        kind = "Z" if c in "\t\n\v\f\r\x85" else unicodedata.category(c)[0]
+        if kind in out:
+            out[kind] += re.escape(c)
+    return out["L"], out["N"], out["Z"]
+
+
 class Tokenizer:
     """Splitting, normalising and the automaton of one vocabulary file."""
 
@@ -182,61 +193,74 @@ class Tokenizer:
         # the library's normaliser and splitter, without its model
         bare = tokenizers.Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": model | {"vocab": {}, "merges": []}}))
         self.normal, self.split = bare.normalizer.normalize_str, bare.pre_tokenizer.pre_tokenize_str
-        self.ascii = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^a-z0-9]+").findall
+        letters, numbers, white = _classes()
+        contractions = "'(?:s|t|re|ve|m|ll|d)"
+        self.ascii = re.compile(f"[a-z]+|{contractions}|[0-9]|[^{white}a-z0-9]+").findall
+        self.latin = re.compile(f"[{letters}]+|{contractions}|[{numbers}]|[^{white}{letters}{numbers}]+").findall
+        self.simple = re.compile("[\x00-\u024f]*").fullmatch
         self.pieces = re.compile(r"[^\t-\r ]+").findall
-        self.ids: dict[str, str] = _Pieces(self, 0)
-        self.decoded: dict[str, str] = _Pieces(self, 1)
-
-    def words(self, piece: str) -> list[bytes]:
-        """The pre-split words of a piece."""
-        if piece.isascii():
-            return [w.encode() for w in self.ascii(piece.lower())]
-        piece = piece.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
-        return [bytes(map(self.number.__getitem__, w)) for w, _ in self.split(self.normal(piece))]
-
-    def piece(self, piece: str) -> list[int]:
-        """The ids of a text without white space."""
-        out: list[int] = []
-        for part in self.special.split(piece) if "<|" in piece else (piece,):
-            if part in self.specials:
-                out.append(self.specials[part])
-                continue
-            for word in self.words(part):
-                inner = self.inner
-                symbols = [inner[b] for b in word]
-                symbols[-1] = self.last[word[-1]]
-                out += self.automaton.encode(symbols)
+        self.ids: dict[str, str] = _Words(self, 0)
+        self.decoded: dict[str, str] = _Words(self, 1)
+
+    def _split(self, part: str) -> list[str]:
+        low = part.lower()
+        if low.isascii():
+            return self.ascii(low)
+        if self.simple(low):
+            return self.latin(low)
+        out: list[str] = []
+        for piece in self.pieces(part):
+            low = piece.lower()
+            if self.simple(low):
+                out += self.latin(low)
+            else:
+                piece = piece.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+                out += [bytes(map(self.number.__getitem__, w)).decode() for w, _ in self.split(self.normal(piece))]
         return out
 
+    def words(self, text: str) -> list[str]:
+        """The pre-split words; a special token stays whole."""
+        if "<|" not in text:
+            return self._split(text)
+        return [w for part in self.special.split(text) for w in ((part,) if part in self.specials else self._split(part))]
+
+    def word(self, word: str) -> list[int]:
+        if word in self.specials:
+            return [self.specials[word]]
+        inner, data = self.inner, word.encode()
+        symbols = [inner[b] for b in data]
+        symbols[-1] = self.last[data[-1]]
+        return self.automaton.encode(symbols)
+
     def encode(self, text: str) -> list[int]:
-        return [i for piece in self.pieces(text) for i in self.piece(piece)]
+        return [i for word in self.words(text) for i in self.word(word)]
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.automaton.decode(ids))
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
-        pieces = self.pieces(text) if text else []
-        ids = " ".join(filter(None, map(self.ids.__getitem__, pieces)))
-        decoded = " ".join(filter(None, map(self.decoded.__getitem__, pieces)))
+        words = self.words(text) if text else []
+        ids = " ".join(map(self.ids.__getitem__, words))
+        decoded = " ".join(map(self.decoded.__getitem__, words))
         return ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest()
 
 
-class _Pieces(dict):
-    """Piece -> its ids as text, or its decoded text; forgets all when full."""
+class _Words(dict):
+    """Word -> its ids as text, or its decoded text; forgets all when full."""
 
     def __init__(self, owner: Tokenizer, kind: int) -> None:
         self.owner, self.kind = owner, kind
 
-    def __missing__(self, piece: str) -> str:
+    def __missing__(self, word: str) -> str:
         o = self.owner
-        ids = o.piece(piece)
+        ids = o.word(word)
         texts = " ".join(map(str, ids)), o.decode(ids)
-        if len(piece) <= 64:
+        if len(word) <= 64:
             if len(o.ids) >= MEMORY:
                 o.ids.clear()
                 o.decoded.clear()
-            dict.__setitem__(o.ids, piece, texts[0])
-            dict.__setitem__(o.decoded, piece, texts[1])
+            dict.__setitem__(o.ids, word, texts[0])
+            dict.__setitem__(o.decoded, word, texts[1])
         return texts[self.kind]
 
 
