@@ -46,7 +46,7 @@ from curblake.llm.common import by_batch
 TOKENIZER = "word_bpe_49k.json"
 #: Distinct words, and table cells, that a Python worker remembers at once.
 MEMORY = 200_000
-CELLS = 500_000
+CELLS = 300_000
 #: Bits of a symbol and of a token in a packed key.
 SYMBOL, TOKEN = 10, 20
 
@@ -87,7 +87,7 @@ class Automaton:
         self._forget()
 
     def _forget(self) -> None:
-        self.under_way: list[tuple] = [((-1, 0),)]  # configuration -> (state, trie node) of its arcs
+        self.under_way: list[tuple[int, ...]] = [(0,)]  # configuration -> its arcs: state + 1 << TOKEN | trie node
         self.number: dict[tuple, int] = {self.under_way[0]: 0}
         self.table: dict[int, int] = {}  # configuration << SYMBOL | symbol -> configuration << TOKEN | token
 
@@ -121,17 +121,17 @@ class Automaton:
     def _expand(self, here: int, symbol: int) -> int:
         """The cell of a configuration and a symbol."""
         going, done = [], None
-        for state, node in self.under_way[here]:
-            node = self.next.get(node << SYMBOL | symbol)
+        for arc in self.under_way[here]:
+            state, node = (arc >> TOKEN) - 1, self.next.get((arc & (1 << TOKEN) - 1) << SYMBOL | symbol)
             if node is None:
                 continue
             token = self.ends[node]
             if token >= 0 and (state < 0 or self.alive(state, token, 1 << 60)):
                 done = token
-            going.append((state, node))
+            going.append(arc >> TOKEN << TOKEN | node)
         if done is None:
             raise ValueError("no arc ends here: a base symbol is missing from the vocabulary")
-        to = (*going, (done, 0))
+        to = (*going, done + 1 << TOKEN)
         number = self.number.setdefault(to, len(self.under_way))
         if number == len(self.under_way):
             self.under_way.append(to)
