@@ -200,7 +200,7 @@ def _shared(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _salted(by_key: DataFrame) -> DataFrame:
-    """A row a key -> one a key and salt; by_key has parts."""
+    """A row a key (or group) -> one for each of its salts; by_key has parts."""
     return by_key.withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
 
 
@@ -267,9 +267,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows, named = _grouped(docs)
     member = rows.select("doc_id", "print", "class").join(named.select("class", "group"), "class")
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print")
-    member = member.groupBy("group", "doc_id", "print").agg(F.count("*").alias("times")).withColumn("key", key)
-    best = member.groupBy("group").agg(F.min("key").alias("best"))
-    judged = spool(member.join(best, "group").select("doc_id", "print", "times", (F.col("key") == F.col("best")).alias("wins")), "copies")
+    member = spool(member.groupBy("group", "doc_id", "print").agg(F.count("*").alias("times")).withColumn("key", key), "members")
+    best = member.groupBy("group").agg(F.min("key").alias("best"), F.ceil(F.count("*") / HOT).cast("int").alias("parts"))
+    best = spool(best, "best")
+    hot = spool(best.where(F.col("parts") > 1).select("group", "parts"), "hot-groups")  # at most members / HOT rows
+    dealt = member.join(hot, "group", "left").withColumn("salt", F.pmod(F.xxhash64("key"), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    judged = dealt.join(_salted(best), ["group", "salt"]).select("doc_id", "print", "times", (F.col("key") == F.col("best")).alias("wins"))
+    judged = spool(judged, "copies")
     own = lambda side: docs["doc_id"].eqNullSafe(side["doc_id"]) & (F.xxhash64(docs["text"]) == side["print"])
     gone = judged.where(~F.col("wins") | (F.col("times") > 1))
     kept = docs.join(gone, own(gone), "left_anti")

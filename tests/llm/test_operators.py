@@ -356,6 +356,8 @@ def test_near_dedup_deals_hot_keys(spark, monkeypatch):
     rows = [(i, " ".join([*words, f"x{i}"])) for i in range(120)] + [(500, "alone by itself here")]
     got = {r.doc_id: r.component_id for r in op8_near_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: 0 for i in range(120)} | {500: 500}
+    left = op8_near_dedup.one_of_each(spark.createDataFrame(rows + rows[:3], "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in left) == [rows[0], rows[-1]]
 
 
 def test_near_dedup_awkward(spark, awkward):
