@@ -36,7 +36,7 @@ import hashlib
 import json
 import re
 import unicodedata
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -46,7 +46,7 @@ from curblake.llm.common import by_batch
 TOKENIZER = "word_bpe_49k.json"
 #: Distinct words, and table cells, that a Python worker remembers at once.
 MEMORY = 200_000
-CELLS = 300_000
+CELLS = 240_000
 #: Bits of a symbol and of a token in a packed key.
 SYMBOL, TOKEN = 10, 20
 
@@ -180,8 +180,6 @@ class Tokenizer:
     """Splitting, normalising and the automaton of one vocabulary file."""
 
     def __init__(self, path: str) -> None:
-        import tokenizers
-
         spec = json.load(open(path, encoding="utf-8"))
         model = spec["model"]
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -190,9 +188,7 @@ class Tokenizer:
         self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")")
         self.inner, self.last = ([self.automaton.symbols[b + end] for b in byte_symbols()] for end in ("", self.automaton.suffix))
         self.number = {b: i for i, b in enumerate(byte_symbols())}
-        # the library's normaliser and splitter, without its model
-        bare = tokenizers.Tokenizer.from_str(json.dumps(spec | {"added_tokens": [], "model": model | {"vocab": {}, "merges": []}}))
-        self.normal, self.split = bare.normalizer.normalize_str, bare.pre_tokenizer.pre_tokenize_str
+        self.bare = json.dumps(spec | {"added_tokens": [], "model": model | {"vocab": {}, "merges": []}})
         letters, numbers, white = _classes()
         contractions = "'(?:s|t|re|ve|m|ll|d)"
         self.ascii = re.compile(f"[a-z]+|{contractions}|[0-9]|[^{white}a-z0-9]+").findall
@@ -202,6 +198,14 @@ class Tokenizer:
         self.ids: dict[str, str] = _Words(self, 0)
         self.decoded: dict[str, str] = _Words(self, 1)
 
+    @cached_property
+    def library(self):  # noqa: ANN201
+        """The library's normaliser and splitter, without its model; loaded when a text needs it."""
+        import tokenizers
+
+        bare = tokenizers.Tokenizer.from_str(self.bare)
+        return bare.normalizer.normalize_str, bare.pre_tokenizer.pre_tokenize_str
+
     def _split(self, part: str) -> list[str]:
         low = part.lower()
         if low.isascii():
@@ -215,7 +219,8 @@ class Tokenizer:
                 out += self.latin(low)
             else:
                 piece = piece.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
-                out += [bytes(map(self.number.__getitem__, w)).decode() for w, _ in self.split(self.normal(piece))]
+                normal, split = self.library
+                out += [bytes(map(self.number.__getitem__, w)).decode() for w, _ in split(normal(piece))]
         return out
 
     def words(self, text: str) -> list[str]:
