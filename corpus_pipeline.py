@@ -52,7 +52,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null source is a source of its own.  Null and empty texts have no words and take part while their source's
     target isn't reached.  Repeated rows and null ids are documents like any other; ties of position go by doc_id.
     """
-    return op6_mixing.ordered(op6_mixing.mix(docs.select(*COLUMNS))).select(*COLUMNS)
+    return op6_mixing.in_order(docs.select(*COLUMNS))
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

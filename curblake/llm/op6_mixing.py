@@ -12,6 +12,10 @@ Null texts have size 0, a null source is a source of its own and comes last, a n
 count as empty ones in the order.  Documents of size 0 take part and take nothing.  Repeated rows are documents of their own.
 An empty table gives an empty result.  A hot source is split into buckets of the order, whose offsets
 come from bucket totals, so no task needs a whole source.
+
+`in_order` moves each copy's whole row once only.  It finds the positions without the texts, cuts training
+into parts, and notes where in each bucket's order each part begins; with that small table every row knows
+the parts of its copies before it is moved, and its position is computed there again.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curblake.llm.common import WHITE, spool
+from curblake.llm.common import WHITE, release, spool
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -27,6 +31,8 @@ CAP = 3
 SLOPES = (-0.5, 0.0, 0.5)
 #: Documents a bucket of the order should hold.
 BUCKET = 1_000
+#: Rows of the table of parts that each executor may hold.
+HELD = 500_000
 
 
 def n_words(text: str) -> Column:
@@ -59,6 +65,15 @@ def targets(per_source: DataFrame) -> DataFrame:
     return rows.withColumn("target", F.least((CAP * F.col("source_size")).cast("double"), level * F.col("weight"))).drop("_level")
 
 
+def _position(words: Column, epoch: Column) -> Column:
+    """Inverse of D(t) = target (t + slope (t^2 - t)) so many words into an epoch; null beyond training.  Never falls as words grow."""
+    slope = F.element_at(F.array(*map(F.lit, SLOPES)), F.col("kind") + 1)
+    share = (words + epoch * F.col("source_size")) / F.col("target")
+    inner = (1 - slope) * (1 - slope) + 4 * slope * share
+    t = F.when(slope == 0, share).otherwise((F.sqrt(F.greatest(inner, F.lit(0.0))) - (1 - slope)) / (2 * slope))
+    return F.when((F.col("target") > 0) & (t <= 1), t)
+
+
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", buckets: int | None = None) -> DataFrame:
     """All columns of ``docs`` with size, source_size, target and positions (one a copy taken, ascending)."""
     n = buckets or max(1, -(-docs.count() // BUCKET))
@@ -76,16 +91,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     placed = rows.withColumn("_ahead", F.coalesce(F.sum("_size").over(within), F.lit(0)))
     placed = placed.join(offsets, placed["_source"].eqNullSafe(offsets["_s"]) & (placed["_bucket"] == offsets["_b"]))
     middle = (F.col("_offset") + F.col("_ahead")).cast("double") + F.col("_size") / 2
-    slope = F.element_at(F.array(*map(F.lit, SLOPES)), F.col("kind") + 1)
-
-    def position(epoch: Column) -> Column:
-        """Inverse of D(t) = target (t + slope (t^2 - t)) at the copy's middle; more than 1 where D(1) is less."""
-        share = (middle + epoch * F.col("source_size")) / F.col("target")
-        inner = (1 - slope) * (1 - slope) + 4 * slope * share
-        t = F.when(slope == 0, share).otherwise((F.sqrt(F.greatest(inner, F.lit(0.0))) - (1 - slope)) / (2 * slope))
-        return F.when((F.col("target") > 0) & (t <= 1), t)
-
-    positions = F.array_compact(F.array(*[position(F.lit(e)) for e in range(CAP)]))
+    positions = F.array_compact(F.array(*[_position(middle, F.lit(e)) for e in range(CAP)]))
     added = ("size", "source_size", "target", "positions")
     return placed.select("_row", F.col("_size").alias("size"), "source_size", "target", positions.alias("positions")).select(*[F.col("_row.`" + c + "`") for c in docs.columns if c.lower() not in added], *added)
 
@@ -96,6 +102,58 @@ def ordered(mixed: DataFrame) -> DataFrame:
     return copies.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
 
 
+def in_order(docs: DataFrame, parts: int | None = None) -> DataFrame:
+    """``ordered(mix(docs))`` with the columns of ``docs`` only, whose whole rows move once; Spark must be able to hash them.
+
+    Rows of one place (one id and text) go to every part that holds a copy of one of them, and each copy is
+    kept in its own part.  Where that would double the rows, which takes very many repeated ones, `mix` and
+    `ordered` move them twice.
+    """
+    n = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = lambda t: F.when(t.isNotNull(), F.least(F.floor(t * n), F.lit(n - 1)).cast("int"))
+    own = [F.col("`" + c + "`") for c in docs.columns]
+    rows = docs.select(F.struct(*own).alias("_row"), F.col("source").alias("_source"), n_words("text").alias("_size"), _place("doc_id", "text").alias("_place"), F.xxhash64(*own).alias("_hash"))
+    places = rows.groupBy("_source", "_place").agg(F.sum("_size").alias("_words"), F.min("_size").alias("_least"), F.count("*").alias("_times"))
+    places = spool(places, "mix-places")
+    plan = targets(places.groupBy(F.col("_source").alias("source")).agg(F.sum("_words").alias("source_size"), F.sum("_times").alias("rows")))
+    number = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).alias("_id")
+    plan = spool(plan.select(number, F.col("source").alias("_s"), "source_size", "target", "kind", F.ceil(F.col("rows") / BUCKET).alias("_buckets")), "mix-plan")
+
+    def planned(rows: DataFrame) -> DataFrame:
+        bucket = F.shiftright(F.shiftright("_place", 30) * F.col("_buckets"), 30).cast("int")
+        return rows.join(_held(plan), rows["_source"].eqNullSafe(plan["_s"])).drop("_source", "_s").withColumn("_bucket", bucket).drop("_buckets")
+
+    spans = planned(places)
+    ahead = Window.partitionBy("_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = spans.groupBy("_id", "_bucket").agg(F.sum("_words").alias("_total"))
+    offsets = spool(offsets.select("_id", "_bucket", F.coalesce(F.sum("_total").over(ahead), F.lit(0)).alias("_offset")), "mix-offsets")
+    within = Window.partitionBy("_id", "_bucket").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("_ahead", F.coalesce(F.sum("_words").over(within), F.lit(0))).join(_held(offsets), ["_id", "_bucket"])
+    spans = spans.withColumn("_ahead", F.col("_offset") + F.col("_ahead")).withColumn("_epoch", F.explode(F.array(*map(F.lit, range(CAP)))))
+    first = _position(F.col("_ahead").cast("double") + F.col("_least") / 2, F.col("_epoch"))
+    last = _position((F.col("_ahead") + F.col("_words")).cast("double") - F.col("_least") / 2, F.col("_epoch"))
+    spans = spans.withColumn("_first", part(first)).where(F.col("_first").isNotNull()).withColumn("_part", F.explode(F.sequence("_first", F.coalesce(part(last), F.lit(n - 1)))))
+    begun = F.sum(F.when(F.col("_part") == F.col("_first"), F.col("_times")))
+    spans = spans.groupBy("_id", "_bucket", "_epoch", "_part").agg(F.min("_place").alias("_low"), F.max("_place").alias("_high"), F.min("_ahead").alias("_start"), F.sum("_times").alias("_sent"), begun.alias("_begun"))
+    spans = spool(spans, "mix-parts")
+    release(places, offsets)
+    sent, begun = spans.agg(F.sum("_sent"), F.sum("_begun")).first()
+    if (sent or 0) > 2 * (begun or 0):
+        return ordered(mix(docs.select(F.struct(*own).alias("_own"), "doc_id", "source", "text"))).select("_own.*")
+    copies = planned(rows).join(_held(spans.drop("_sent", "_begun")), ["_id", "_bucket"]).where(F.col("_place").between(F.col("_low"), F.col("_high"))).drop("_low", "_high")
+    copies = copies.repartitionByRange("_part")  # of one place all copies of an epoch are there, so their order can be found
+    within = Window.partitionBy("_part", "_id", "_bucket", "_epoch").orderBy("_place", "_row.doc_id", "_size", "_hash").rowsBetween(Window.unboundedPreceding, -1)
+    copies = copies.withColumn("_ahead", F.coalesce(F.sum("_size").over(within), F.lit(0)))
+    middle = (F.col("_start") + F.col("_ahead")).cast("double") + F.col("_size") / 2
+    placed = copies.withColumn("_position", _position(middle, F.col("_epoch"))).where(part(F.col("_position")) == F.col("_part"))
+    return placed.sortWithinPartitions("_position", "_row.doc_id").select(*[F.col("_row.`" + c + "`") for c in docs.columns])
+
+
+def _held(small: DataFrame) -> DataFrame:
+    """Broadcast if it has at most HELD rows, so that what it is joined to isn't moved."""
+    return F.broadcast(small) if small.count() <= HELD else small
+
+
 def summary(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target, taken and the first and last training position, range-sorted by the first.
 

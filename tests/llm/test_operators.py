@@ -286,6 +286,25 @@ def test_mix_follows_the_schedules(spark):
 
 
 
+def test_mix_in_order_equals_mix(spark, monkeypatch):
+    """The rows, moved once, stand as `ordered` puts those of `mix`; repeated rows that parts divide are taken as often."""
+    rng = random.Random(16)
+    docs = [(i, "w " * rng.randint(0, 30), "en", rng.choice(["a", "b", "b", None])) for i in range(1500)] + [(None, None, "en", "a")] * 9
+    docs += [(None, "x y", f"l{i % 3}", "b") for i in range(300)] + [(10_000 + i, "k " * 40, "en", f"single {i}") for i in range(12)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    monkeypatch.setattr(op6_mixing, "BUCKET", 100)
+    named = lambda rows: [(r.doc_id, r.text, r.source) for r in rows]
+    want = named(op6_mixing.ordered(op6_mixing.mix(df)).collect())
+    for parts in (1, 5, 90):
+        got = op6_mixing.in_order(df.repartition(parts % 7 + 1), parts).collect()
+        assert named(got) == want
+        taken = [sum(r.text == "x y" and r.lang == f"l{i}" for r in got) for i in range(3)]
+        times = sum(w[1] == "x y" for w in want) // 300
+        assert all(100 * times <= t <= 100 * (times + 1) for t in taken)
+    same = spark.createDataFrame([(1, "x y", "a", "own")] * 200, "doc_id long, text string, source string, size string")
+    assert [tuple(r) for r in op6_mixing.in_order(same, 40).collect()] == [tuple(r) for r in same.collect()] and op6_mixing.in_order(df.limit(0)).count() == 0
+
+
 def test_mix_of_an_empty_table(spark):
     assert op6_mixing.summary(spark.createDataFrame([], EMPTY_DOCS)).count() == 0
 

@@ -49,6 +49,19 @@ def test_run_and_empty_tables(spark, sf):
     assert docs.count() == 0 and len(P.STAGES) == 5
 
 
+def test_mixing_moves_texts_once(spark):
+    """However small a table must be to be broadcast by itself, whole rows go through one exchange, into training order."""
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 9), "en", "ab"[i % 2], 0) for i in range(400)], "doc_id long, text string, lang string, source string, n_chars long")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        plan = P.mixing(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert re.findall(r"(?<!Broadcast)Exchange (\w+)", plan) == ["rangepartitioning"]
+
+
 def test_registered():
     import __spark_entry__
 
