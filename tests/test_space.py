@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from curblake.operators import spatial
 from curblake.plans.registry import QUERIES
 
@@ -12,8 +14,12 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_cells_are_not_broadcast(spark, sf):
-    assert not re.search(r"BroadcastHashJoin \[(cast\()?cell", plan(QUERIES["spatial_within_12m"](spark, sf)))  # of files Spark thinks them small
+@pytest.mark.parametrize("name", ["spatial_within_12m", "spatial_box_intersect"])
+def test_cells_are_not_broadcast(name, spark, sf):
+    assert not re.search(r"BroadcastHashJoin \[(cast\()?cell", plan(QUERIES[name](spark, sf)))  # of files Spark thinks them small
+
+
+def test_copies_meet_once_and_are_written_out(spark):
     lines = spark.createDataFrame([(i, [(0.0, 0.0), (30.5, 0.0), (61.0, 0.0)]) for i in range(40)], LINE)
     points = spark.createDataFrame([(i, 13.0 * (i % 3), 5.0) for i in range(3000)], "point_id long, x double, y double")
     near = spatial.within(lines, points, 12.0)
@@ -26,3 +32,10 @@ def test_hydrants_of_one_place_count_once(spark):
     hydrants = spark.createDataFrame([(23.0, 3.0)] * 15 + [(6.0, -2.0)] * 15 + [(29.0, 1.0)], "x double, y double")
     free = spatial.hydrant_exclusions(lines, hydrants, 12.0)
     assert sorted((r.line_id, r.covered, r.stretches) for r in free.collect()) == [(i, 18.0, 2) for i in range(5)]  # 3 to 9, and 20 to 32
+
+
+def test_equal_boxes_are_written_out(spark):
+    boxes = spark.createDataFrame([(i, *((0.0, 0.0, 60.0, 60.0), (55.0, 55.0, 70.0, 70.0), (90.0, 0.0, 95.0, 5.0))[i % 3]) for i in range(3300)], "id long, x0 double, y0 double, x1 double, y1 double")
+    pairs = spatial.box_pairs(boxes, boxes).where("left_id < right_id")
+    assert "packl" in plan(pairs)  # of equal boxes one is compared
+    assert pairs.count() == pairs.distinct().count() == 2200 * 2199 // 2 + 1100 * 1099 // 2
