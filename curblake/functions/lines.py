@@ -21,12 +21,12 @@ def distance(p: Column, q: Column) -> Column:
 
 
 def segments(line: Column) -> Column:
-    """array<struct<p, q, at>>: the segments of two points or more, with the distance at which each begins."""
+    """array<struct<p, q, at, m>>: the segments of two points or more, with the distance at which each begins, and its length."""
     pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(line) - 1, F.lit(1))), lambda i: F.struct(F.get(line, i - 1).alias("p"), F.get(line, i).alias("q")))
-    start = F.struct(F.lit(0.0).alias("at"), F.array().cast(f"array<struct<p:{POINT},q:{POINT},at:double>>").alias("out"))
+    start = F.struct(F.lit(0.0).alias("at"), F.array().cast(f"array<struct<p:{POINT},q:{POINT},at:double,m:double>>").alias("out"))
     return F.aggregate(
         F.filter(pairs, lambda s: s["q"].isNotNull()), start,
-        lambda a, s: F.struct((a["at"] + distance(s["p"], s["q"])).alias("at"), F.concat(a["out"], F.array(F.struct(s["p"].alias("p"), s["q"].alias("q"), a["at"].alias("at")))).alias("out")), lambda a: a["out"],
+        lambda a, s: F.struct((a["at"] + distance(s["p"], s["q"])).alias("at"), F.concat(a["out"], F.array(F.struct(s["p"].alias("p"), s["q"].alias("q"), a["at"].alias("at"), distance(s["p"], s["q"]).alias("m")))).alias("out")), lambda a: a["out"],
     )
 
 
@@ -42,7 +42,7 @@ class Measured:
 def measured(df: DataFrame, line: str = "line") -> tuple[DataFrame, Measured]:
     """``df`` with the line's segments and length computed once a row (columns _segments and _length)."""
     df = computed(df, _segments=segments(F.col(line)))
-    df = computed(df, _length=F.aggregate("_segments", F.lit(0.0), lambda t, s: t + distance(s["p"], s["q"])))
+    df = computed(df, _length=F.aggregate("_segments", F.lit(0.0), lambda t, s: t + s["m"]))
     return df, Measured(F.col(line), F.col("_segments"), F.col("_length"))
 
 
@@ -57,15 +57,15 @@ def _points(line: Column | Measured) -> Column:
 def length(line: Column | Measured) -> Column:
     if isinstance(line, Measured):
         return line.length
-    return F.aggregate(segments(line), F.lit(0.0), lambda t, s: t + distance(s["p"], s["q"]))
+    return F.aggregate(segments(line), F.lit(0.0), lambda t, s: t + s["m"])
 
 
 def interpolate(line: Column | Measured, at: Column) -> Column:
     """The point ``at`` metres along; clamped to the ends."""
-    on = F.filter(_pieces(line), lambda s: (s["at"] + distance(s["p"], s["q"]) >= at) & (distance(s["p"], s["q"]) > 0))
+    on = F.slice(F.filter(_pieces(line), lambda s: (s["at"] + s["m"] >= at) & (s["m"] > 0)), 1, 1)
 
     def place(s: Column) -> Column:
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (at - s["at"]) / distance(s["p"], s["q"])))
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (at - s["at"]) / s["m"]))
         return point(s["p"]["x"] + t * (s["q"]["x"] - s["p"]["x"]), s["p"]["y"] + t * (s["q"]["y"] - s["p"]["y"]))
 
     return F.coalesce(F.get(F.transform(on, place), F.lit(0)), F.element_at(_points(line), -1))

@@ -29,7 +29,10 @@ def place(rows: DataFrame, walls: DataFrame, overrides: DataFrame | None = None)
     """
     samples = curbs.rays(rows.select(F.col("row_id").alias("line_id"), F.col("piece").alias("line")))
     hits = curbs.cast(samples, walls)
-    full = samples.join(hits, ["line_id", "s", "side"], "left")
+    rays = samples.select("line_id", F.explode("rays").alias("_r")).select("line_id", "_r.s", "_r.o", "_r.d", F.explode(F.array(F.lit("left"), F.lit("right"))).alias("side"))
+    way = F.when(F.col("side") == "left", 1.0).otherwise(-1.0)
+    rays = rays.withColumn("d", point(way * F.col("d.x"), way * F.col("d.y")))
+    full = rays.hint("merge").join(hits, ["line_id", "s", "side"], "left")
     compass = compass8(F.col("d.x"), F.col("d.y"))
     per = full.groupBy(F.col("line_id").alias("row_id")).agg(
         F.array_sort(F.collect_list(F.struct("s", "side", "o", "d", "hit"))).alias("_rays"),

@@ -14,7 +14,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["spatial_within_12m", "spatial_box_intersect", "first_polygon_tag"])
+@pytest.mark.parametrize("name", ["spatial_within_12m", "spatial_box_intersect", "first_polygon_tag", "ray_hits", "curb_place"])
 def test_cells_are_not_broadcast(name, spark, sf):
     assert not re.search(r"BroadcastHashJoin \[(cast\()?cell", plan(QUERIES[name](spark, sf)))  # of files Spark thinks them small
 
