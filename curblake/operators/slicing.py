@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curblake.functions import lines as L
 from curblake.functions.rx import computed, first
+from curblake.operators.storage import spread
 
 TOLERANCE = 0.001
 BLOCKS = ("block", "parenthetical_block", "parenthetical_end_block", "parenthetical_dual_block")
@@ -30,17 +31,24 @@ def crossings(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def distances(rows: DataFrame) -> DataFrame:
-    """Adds d0, d1 and reason (null if fine) from the rule's fields, the row's line and its crossings."""
-    rows, line = L.measured(rows)
+    """Adds d0, d1 and reason (null if fine) from the rule's fields, the row's line and its crossings.
+
+    Places along the line cost the most, so each is found for the rules only that read it, on rows dealt to all cores.
+    """
+    rows, line = L.measured(spread(rows, "row_id"))
     kind = F.col("rule_type")
     s, e, o = F.col("at_start"), F.col("at_end"), F.col("at_offset")
     # every rule has at most one offset to each end: its anchor, metres and compass word are chosen first, so each is computed once
-    rows = computed(rows, _top=L.terminus(line, F.coalesce("terminus_direction", "terminus_start_dir")), _bottom=L.terminus(line, F.col("terminus_end_dir")))
+    to_top = kind.isin("terminus_to_terminus", "terminus_end_metric", "block_to_terminus", "parenthetical_to_terminus")
+    rows = computed(rows, _top=F.when(to_top, L.terminus(line, F.coalesce("terminus_direction", "terminus_start_dir"))), _bottom=F.when(kind == "terminus_to_terminus", L.terminus(line, F.col("terminus_end_dir"))))
     anchor1 = F.when(kind == "terminus_end_metric", F.col("_top")).when(kind == "intersect_to_offset", o).otherwise(s)
     anchor2 = F.when(kind == "dual_anchor", e).otherwise(s)
-    rows = computed(rows, _o1=L.reflected_offset(line, anchor1, F.coalesce("distance", "dist1"), F.coalesce("direction", "dir1")), _o2=L.reflected_offset(line, anchor2, F.col("dist2"), F.coalesce("dir2", "dir1")))
+    two = kind.isin("offset_span", "dual_anchor")
+    one = two | kind.isin("terminus_end_metric", "perfect_offset", "intersect_extension", "intersect_thereof_block", "intersect_to_offset", "offset_to_intersect")
+    rows = computed(rows, _o1=F.when(one, L.reflected_offset(line, anchor1, F.coalesce("distance", "dist1"), F.coalesce("direction", "dir1"))), _o2=F.when(two, L.reflected_offset(line, anchor2, F.col("dist2"), F.coalesce("dir2", "dir1"))))
     near, far = L.relative_extension(line, s, F.col("dist1"), F.col("dist2"), F.col("dir1"))
-    rows = computed(rows, _near=near, _far=far)
+    further = kind == "relative_extension"
+    rows = computed(rows, _near=F.when(further, near), _far=F.when(further, far))
     pair = lambda a, b: F.struct(a.cast("double").alias("d0"), b.cast("double").alias("d1"))
     span = first(
         (F.col("line").isNull(), F.lit(None)),

@@ -39,3 +39,9 @@ def test_equal_boxes_are_written_out(spark):
     pairs = spatial.box_pairs(boxes, boxes).where("left_id < right_id")
     assert "packl" in plan(pairs)  # of equal boxes one is compared
     assert pairs.count() == pairs.distinct().count() == 2200 * 2199 // 2 + 1100 * 1099 // 2
+
+
+@pytest.mark.parametrize("name", ["slice_by_rule", "slice_outcomes"])
+def test_lines_are_dealt_before_places_are_found(name, spark, sf):
+    """A small file is one task's scan, which would find all places."""
+    assert "REPARTITION_BY_NUM" in plan(QUERIES[name](spark, sf))
