@@ -1,7 +1,7 @@
 """Per-street graphs: edges(street, edge, a, b, metres).
 
 Components and hop counts are DataFrame loops over single nodes; paths with an exact order of ties run
-as one function a street, as streets are small (a street with more edges than a task holds isn't one).
+as one function over some connected parts of a street (a part with more edges than a task holds isn't of a street).
 """
 
 from __future__ import annotations
@@ -54,8 +54,12 @@ def hops(edges: DataFrame, sources: DataFrame, most: int | None = None) -> DataF
 PATH = "request long, start long, finish long, hops int, metres double, edges array<long>, nodes array<long>"
 
 
-def paths(edges: DataFrame, requests: DataFrame) -> DataFrame:
-    """requests(street, request, start, finish) -> shortest paths by hops, ties in edge order."""
+def paths(edges: DataFrame, requests: DataFrame, parts: DataFrame | None = None) -> DataFrame:
+    """requests(street, request, start, finish) -> shortest paths by hops, ties in edge order.
+
+    A path lies in one connected part, so a function takes a share of a street's parts, not the whole street: as many shares as a
+    shuffle has partitions.  parts(street, node, component): of components(), if they are known.
+    """
 
     def run(key: tuple, e: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         near: dict = {}
@@ -89,7 +93,14 @@ def paths(edges: DataFrame, requests: DataFrame) -> DataFrame:
                 out.append((key[0], q.request, q.start, q.finish, len(used), metres, used[::-1], nodes[::-1]))
         return pd.DataFrame(out, columns=["street", "request", "start", "finish", "hops", "metres", "edges", "nodes"])
 
-    return edges.groupBy("street").cogroup(requests.groupBy("street")).applyInPandas(run, f"street {edges.schema['street'].dataType.simpleString()}, {PATH}")
+    shares = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = components(edges) if parts is None else parts
+
+    def dealt(df: DataFrame, end: str):  # noqa: ANN202
+        at = known.select("street", F.col("node").alias(end), F.pmod(F.xxhash64("component"), F.lit(shares)).alias(f"_share_{end}"))
+        return df.join(at, ["street", end]).groupBy("street", f"_share_{end}")
+
+    return dealt(edges.select("street", "edge", "a", "b", "metres"), "a").cogroup(dealt(requests, "start")).applyInPandas(run, f"street {edges.schema['street'].dataType.simpleString()}, {PATH}")
 
 
 def pick(found: DataFrame) -> DataFrame:
@@ -166,12 +177,12 @@ def to_terminus(edges: DataFrame, starts: DataFrame, nodes: DataFrame) -> DataFr
     ends = own.join(nodes, ["street", "component"]).groupBy("street", "request", "start").agg(F.min_by("node", F.struct((-score).alias("s"), F.col("node"))).alias("finish"))
     asked = ends.withColumn("_id", F.struct("request", "start"))
     numbered = cut(asked.withColumn("_k", F.xxhash64("street", "request", "start")))
-    best = paths(edges, numbered.select("street", F.col("_k").alias("request"), "start", "finish")).select("street", F.col("request").alias("_k"), "hops", "metres")
+    best = paths(edges, numbered.select("street", F.col("_k").alias("request"), "start", "finish"), nodes).select("street", F.col("request").alias("_k"), "hops", "metres")
     reached = numbered.drop("_id").join(best, ["street", "_k"])
     longest = reached.groupBy("street", "request").agg(F.max_by(F.struct("start", "finish", "hops", "metres"), F.struct("metres", -F.col("start"))).alias("p")).select("street", "request", "p.*")
     stuck = cut(longest.where(F.col("metres") < 0.001).select("street", "request"))
     every = own.join(stuck, ["street", "request"]).join(nodes.select("street", "component", F.col("node").alias("finish")), ["street", "component"]).where(F.col("start") != F.col("finish"))
     every = cut(every.select("street", "request", "start", "finish", F.xxhash64("street", "request", "start", "finish").alias("_k")))
-    far = paths(edges, every.select("street", F.col("_k").alias("request"), "start", "finish")).select("street", F.col("request").alias("_k"), "hops", "metres")
+    far = paths(edges, every.select("street", F.col("_k").alias("request"), "start", "finish"), nodes).select("street", F.col("request").alias("_k"), "hops", "metres")
     far = every.join(far, ["street", "_k"]).groupBy("street", "request").agg(F.max_by(F.struct("start", "finish", "hops", "metres"), F.struct("metres", -F.col("start"), -F.col("finish"))).alias("p")).select("street", "request", "p.*")
     return longest.join(stuck, ["street", "request"], "left_anti").unionByName(far)

@@ -45,3 +45,9 @@ def test_equal_boxes_are_written_out(spark):
 def test_lines_are_dealt_before_places_are_found(name, spark, sf):
     """A small file is one task's scan, which would find all places."""
     assert "REPARTITION_BY_NUM" in plan(QUERIES[name](spark, sf))
+
+
+def test_paths_take_shares_of_a_street(spark, sf):
+    """One function a street would hold all of it, however many parts it has."""
+    text = plan(QUERIES["graph_path_edges"](spark, sf))
+    assert "_share_a" in text and "_share_start" in text
